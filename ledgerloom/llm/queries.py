@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.dictionaries import NULL_TOKENS
 from ledgerloom.llm.groups import linked_groups
+from ledgerloom.llm.residue import find_residue
 from ledgerloom.sources.tables import table
 
 WORDS = ", ".join(f"'{x}'" for x in NULL_TOKENS)
@@ -34,9 +35,25 @@ SELECT v AS company_id, min(r) AS group_id FROM reach GROUP BY v
 """
 
 
+def _texts(spark: SparkSession, folder: str) -> DataFrame:
+    """(field, company_id, text) of titles and descriptions."""
+    titles = table(spark, folder, "website_probes").select(F.lit("title").alias("field"), "company_id", F.col("title").alias("text"))
+    return titles.unionByName(table(spark, folder, "company_enrichment").select(F.lit("description").alias("field"), "company_id", F.col("description").alias("text")))
+
+
+def p2_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    return find_residue(_texts(spark, folder).where("company_id is not null"), ["field", "company_id"], "text")
+
+
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p2_kinds(spark, folder).select("field", "company_id").distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
+        "p2_found": p2_found,
+        "p2_kinds": p2_kinds,
     }
 
 
