@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.dictionaries import NULL_TOKENS
+from ledgerloom.llm.canonical import map_places
 from ledgerloom.llm.groups import linked_groups
 from ledgerloom.llm.residue import find_residue
 from ledgerloom.sources.tables import table
@@ -49,11 +50,16 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return p2_kinds(spark, folder).select("field", "company_id").distinct()
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return map_places(*(table(spark, folder, t) for t in ("companies", "ref_cities", "ref_states")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
         "p2_found": p2_found,
         "p2_kinds": p2_kinds,
+        "p3_found": p3_found,
     }
 
 
