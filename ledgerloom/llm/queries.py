@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.dictionaries import NULL_TOKENS
 from ledgerloom.llm.canonical import map_places
 from ledgerloom.llm.groups import linked_groups
+from ledgerloom.llm.name_variants import find_variants
 from ledgerloom.llm.residue import find_residue
 from ledgerloom.sources.tables import table
 
@@ -54,12 +55,22 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return map_places(*(table(spark, folder, t) for t in ("companies", "ref_cities", "ref_states")))
 
 
+def _towns(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the towns of the fixed reference list."""
+    return [x for r in table(spark, folder, "ref_cities").limit(10_000).toLocalIterator() for x in (r.city, *(r.alt_names or ())) if x]
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return find_variants(table(spark, folder, "companies"), "id", "name", _towns(spark, folder))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
         "p2_found": p2_found,
         "p2_kinds": p2_kinds,
         "p3_found": p3_found,
+        "p4_found": p4_found,
     }
 
 
