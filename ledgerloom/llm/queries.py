@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.dictionaries import NULL_TOKENS
+from ledgerloom.llm.addresses import find_same_place
 from ledgerloom.llm.canonical import map_places
 from ledgerloom.llm.groups import linked_groups
 from ledgerloom.llm.name_variants import find_variants
@@ -64,6 +65,12 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     return find_variants(table(spark, folder, "companies"), "id", "name", _towns(spark, folder))
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    towns = [(r.city, list(r.alt_names or ())) for r in table(spark, folder, "ref_cities").where("city is not null").limit(10_000).toLocalIterator()]
+    found = find_same_place(table(spark, folder, "company_enrichment"), "company_id", "address", towns)
+    return found.toDF("company_id_a", "company_id_b")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -71,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p2_kinds": p2_kinds,
         "p3_found": p3_found,
         "p4_found": p4_found,
+        "p5_found": p5_found,
     }
 
 
