@@ -11,8 +11,10 @@ from ledgerloom.dictionaries import NULL_TOKENS
 from ledgerloom.llm.addresses import find_same_place
 from ledgerloom.llm.canonical import map_places
 from ledgerloom.llm.groups import linked_groups
+from ledgerloom.llm.main_body import mark_lines, mixed_texts, train
 from ledgerloom.llm.name_variants import find_variants
 from ledgerloom.llm.residue import find_residue
+from ledgerloom.llm.survivors import choose_survivors
 from ledgerloom.sources.tables import table
 
 WORDS = ", ".join(f"'{x}'" for x in NULL_TOKENS)
@@ -71,6 +73,22 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
     return found.toDF("company_id_a", "company_id_b")
 
 
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "page_store")
+    in_page, alone = train(pages, "stored_path", "html")
+    lines = mark_lines(pages, "stored_path", "html", in_page).select(F.lit("page").alias("field"), "record_key", F.col("line_no").cast("int").alias("line_no"))
+    mixed = mixed_texts(table(spark, folder, "company_enrichment"), "company_id", "description", alone)
+    return lines.unionByName(mixed.select(F.lit("description").alias("field"), F.col("company_id").cast("string").alias("record_key"), F.lit(1).alias("line_no")))
+
+
+def p7_survivors(spark: SparkSession, folder: str) -> DataFrame:
+    return choose_survivors(table(spark, folder, "companies"))
+
+
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p7_survivors(spark, folder).select("cin", "field", "id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -79,6 +97,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p3_found": p3_found,
         "p4_found": p4_found,
         "p5_found": p5_found,
+        "p6_found": p6_found,
+        "p7_found": p7_found,
+        "p7_survivors": p7_survivors,
     }
 
 
