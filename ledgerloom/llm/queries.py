@@ -11,6 +11,7 @@ from ledgerloom.dictionaries import NULL_TOKENS
 from ledgerloom.llm.addresses import find_same_place
 from ledgerloom.llm.canonical import map_places
 from ledgerloom.llm.groups import linked_groups
+from ledgerloom.llm.leaks import find_leaks
 from ledgerloom.llm.main_body import mark_lines, mixed_texts, train
 from ledgerloom.llm.name_variants import find_variants
 from ledgerloom.llm.residue import find_residue
@@ -89,6 +90,14 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return p7_survivors(spark, folder).select("cin", "field", "id")
 
 
+def p8_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p8_leaks(spark, folder).select("doc_id", "item_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -100,6 +109,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p6_found": p6_found,
         "p7_found": p7_found,
         "p7_survivors": p7_survivors,
+        "p8_found": p8_found,
+        "p8_leaks": p8_leaks,
     }
 
 
