@@ -13,6 +13,7 @@ from ledgerloom.llm.canonical import map_places
 from ledgerloom.llm.groups import linked_groups
 from ledgerloom.llm.leaks import find_leaks
 from ledgerloom.llm.main_body import mark_lines, mixed_texts, train
+from ledgerloom.llm.mixing import mix_sources
 from ledgerloom.llm.name_variants import find_variants
 from ledgerloom.llm.residue import find_residue
 from ledgerloom.llm.survivors import choose_survivors
@@ -98,6 +99,23 @@ def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return p8_leaks(spark, folder).select("doc_id", "item_id")
 
 
+def p9_plan(spark: SparkSession, folder: str) -> DataFrame:
+    return mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[0]
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p9_plan(spark, folder).where("short").select("plan_id", "source")
+
+
+def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The share of each source in the documents drawn, beside its target."""
+    plan, draw = mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+    drawn = draw.groupBy("plan_id", "source").agg(F.sum(F.col("n_tokens") * F.col("times")).alias("drawn_tokens"), F.max("times").alias("most_times"))
+    whole = drawn.groupBy("plan_id").agg(F.sum("drawn_tokens").alias("whole"))
+    found = plan.select("plan_id", "source", "weight", "blocks", "share").join(drawn, ["plan_id", "source"], "left").join(whole, "plan_id", "left")
+    return found.select("plan_id", "source", "weight", "blocks", "share", F.coalesce("drawn_tokens", F.lit(0)).alias("drawn_tokens"), "most_times", F.round(F.coalesce("drawn_tokens", F.lit(0)) / F.col("whole"), 4).alias("drawn_share"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -111,6 +129,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p7_survivors": p7_survivors,
         "p8_found": p8_found,
         "p8_leaks": p8_leaks,
+        "p9_found": p9_found,
+        "p9_plan": p9_plan,
+        "p9_shares": p9_shares,
     }
 
 
