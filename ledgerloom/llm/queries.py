@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.dictionaries import NULL_TOKENS
 from ledgerloom.llm.addresses import find_same_place
 from ledgerloom.llm.canonical import map_places
+from ledgerloom.llm.encoding import repair
 from ledgerloom.llm.groups import linked_groups
 from ledgerloom.llm.leaks import find_leaks
 from ledgerloom.llm.main_body import mark_lines, mixed_texts, train
@@ -116,6 +117,14 @@ def p9_shares(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("plan_id", "source", "weight", "blocks", "share", F.coalesce("drawn_tokens", F.lit(0)).alias("drawn_tokens"), "most_times", F.round(F.coalesce("drawn_tokens", F.lit(0)) / F.col("whole"), 4).alias("drawn_share"))
 
 
+def p10_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    return repair(table(spark, folder, "documents"))
+
+
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return p10_repaired(spark, folder).select("doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -132,6 +141,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p9_found": p9_found,
         "p9_plan": p9_plan,
         "p9_shares": p9_shares,
+        "p10_found": p10_found,
+        "p10_repaired": p10_repaired,
     }
 
 
