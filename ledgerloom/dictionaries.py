@@ -113,3 +113,68 @@ CITY_ALIASES = {
 
 # Words kept in lower case inside a place name.
 SMALL_WORDS = ("and", "of", "the")
+
+# Technologies by the text that gives them away, in this order.
+TECHNOLOGIES = (
+    ("WordPress", "cms", ("/wp-content/", "/wp-includes/", "wp-json", "wp-emoji")),
+    ("Shopify", "ecommerce", ("cdn.shopify.com", "/cdn/shop/", "shopify.theme", "x-shopify", "myshopify.com")),
+    ("Wix", "cms", ("static.wixstatic.com", "wix.com", "_wixcssinjover", "wixsite.com")),
+    ("Squarespace", "cms", ("static1.squarespace.com", "squarespace.com", "static.squarespace")),
+    ("Webflow", "cms", ("assets.website-files.com", "assets-global.website-files.com", "webflow.io", "wf-")),
+    ("Drupal", "cms", ("/sites/default/files", "drupal-settings-json", "drupal.js")),
+    ("Next.js", "js-framework", ("__next_data__", "/_next/static", "/_next/", "next/dist")),
+    ("React", "js-framework", ("data-reactroot", "react-dom", "_reactlistening", "__reactcontainer", "react.production.min")),
+    ("Vue.js", "js-framework", ("data-v-", "__vue__", "vue.runtime", "vue.min.js")),
+    ("Angular", "js-framework", ("ng-version", "ng-app", "angular.min.js", "_ngcontent")),
+    ("Nuxt.js", "js-framework", ("__nuxt__", "/_nuxt/")),
+    ("Gatsby", "js-framework", ("___gatsby", "gatsby-", "/page-data/")),
+    ("Laravel", "backend", ("laravel_session", "xsrf-token", "/vendor/laravel", "laravel")),
+    ("Django", "backend", ("csrfmiddlewaretoken", "__admin_media_prefix__")),
+    ("Ruby on Rails", "backend", ("csrf-param", "rails-", "data-turbo")),
+    ("Cloudflare", "cdn", ("cdn-cgi/", "__cf_bm", "cf-ray", "email-protection", "challenge-platform", "cloudflareinsights")),
+    ("Google Analytics", "analytics", ("googletagmanager.com/gtag/js", "google-analytics.com/analytics.js", "googleanalyticsobject", "ga('create", "gtag(")),
+    ("Google Tag Manager", "analytics", ("googletagmanager.com/gtm.js", "gtm-")),
+    ("Facebook Pixel", "analytics", ("connect.facebook.net", "fbq(", "fbevents.js")),
+    ("HubSpot", "marketing", ("js.hs-scripts.com", "hs-analytics", "hubspot")),
+    ("Hotjar", "analytics", ("static.hotjar.com", "hotjar")),
+    ("Bootstrap", "ui", ("bootstrap.min.css", "bootstrap.bundle", 'class="container')),
+    ("jQuery", "js-library", ("jquery.min.js", "jquery-", "/jquery.js")),
+    ("Elementor", "cms", ("elementor-", "/elementor/")),
+)
+
+# Hosting providers by the text that gives them away; the first that is found counts.
+HOSTING_SIGNS = (
+    ("cloudflare", "Cloudflare"), ("amazonaws", "Amazon AWS"), ("aws", "Amazon AWS"), ("1e100.net", "Google"), ("googleusercontent", "Google Cloud"),
+    ("google", "Google"), ("azure", "Microsoft Azure"), ("windows.net", "Microsoft Azure"), ("netlify", "Netlify"), ("vercel", "Vercel"),
+    ("github", "GitHub Pages"), ("shopify", "Shopify"), ("wixdns", "Wix"), ("wix.com", "Wix"), ("squarespace", "Squarespace"), ("hostinger", "Hostinger"),
+    ("secureserver.net", "GoDaddy"), ("domaincontrol.com", "GoDaddy"), ("bluehost", "Bluehost"), ("hostgator", "HostGator"), ("websitewelcome", "HostGator"),
+    ("bigrock", "BigRock"), ("hostwinds", "Hostwinds"), ("digitalocean", "DigitalOcean"), ("ns.hostgpu", "Hosting.com"), ("namecheap", "Namecheap"),
+    ("registrar-servers.com", "Namecheap"), ("fastly", "Fastly"), ("akamai", "Akamai"),
+)
+GITHUB_PAGES_IPS = ("185.199.108.153", "185.199.109.153", "185.199.110.153", "185.199.111.153")
+
+# E-mail addresses that are no contacts.
+EMAIL_JUNK = (".png", ".jpg", ".jpeg", ".gif", ".svg", ".webp", "@2x", "@3x")
+EMAIL_JUNK_DOMAINS = (
+    "example.com", "example.org", "domain.com", "email.com", "yourdomain.com", "sentry.io", "wix.com", "wixpress.com",
+    "sentry-next.wixpress.com", "godaddy.com", "schema.org", "w3.org", "png", "jpg",
+)
+
+# Social platforms by host, links that only share, and paths that are no profile.
+SOCIAL_HOSTS = {
+    "linkedin": ("linkedin.com",), "twitter": ("twitter.com", "x.com"), "instagram": ("instagram.com",),
+    "facebook": ("facebook.com", "fb.com"), "youtube": ("youtube.com", "youtu.be"), "github": ("github.com",),
+}
+SOCIAL_SKIP = ("/share", "/sharer", "/intent", "sharer.php", "/tr?", "plugins/")
+SOCIAL_NO_PROFILE = ("", "/", "/watch", "/home", "/login", "/signup", "/feed", "/results", "/hashtag", "/explore", "/about", "/help")
+
+# Page types by words in the link.
+PAGE_WORDS = {
+    "about": ("about", "who-we-are", "our-story", "company"),
+    "contact": ("contact", "reach-us", "get-in-touch", "connect"),
+    "team": ("team", "people", "leadership", "founders", "our-team"),
+    "careers": ("career", "jobs", "join-us", "hiring", "work-with-us"),
+    "privacy": ("privacy",),
+    "terms": ("terms", "tos", "terms-of-service", "terms-and-conditions"),
+    "blog": ("blog", "news", "insights", "articles"),
+}

@@ -10,10 +10,14 @@ from ledgerloom.dictionaries import GENERIC_NAME_KEYS, KEY_SUFFIX_REWRITES, SUFF
 from ledgerloom.functions.text import collapse, is_blank, or_null
 
 
-@F.pandas_udf("string")
-def _title(x: pd.Series) -> pd.Series:
+def _title(x: Column) -> Column:
     """Title case as Python has it, which restarts after every character that is no letter."""
-    return x.str.title()
+
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return s.str.title()
+
+    return run(x)
 
 
 def display_name(x: Column) -> Column:
