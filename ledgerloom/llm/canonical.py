@@ -46,8 +46,10 @@ class Trie:
     def __init__(self, words: Iterable[tuple[str, object]]):
         self.root: dict = {}
         self.exact: dict[str, set] = {}
+        self.longest = 0
         for word, entry in words:
             if word:
+                self.longest = max(self.longest, len(word))
                 self.exact.setdefault(word, set()).add(entry)
                 node = self.root
                 for c in word:
@@ -58,6 +60,8 @@ class Trie:
         """Entries within k edits of the pattern, each with its distance."""
         if pattern in self.exact and k == 0:
             return dict.fromkeys(self.exact[pattern], 0)
+        if len(pattern) > self.longest + k:
+            return {}
         found: dict[object, int] = {}
         n = len(pattern)
         stack = [(self.root, list(range(n + 1)), None, "")]
@@ -200,6 +204,11 @@ class Places:
         return next(iter(self.states.exact.get(word, {0})))
 
 
+def _spread(values: DataFrame) -> DataFrame:
+    """Small rows with much work each, over all cores."""
+    return values.repartition(4 * values.sparkSession.sparkContext.defaultParallelism)
+
+
 def _blocks(cities: DataFrame) -> int:
     return max(1, -(-cities.count() // BLOCK_ENTRIES))
 
@@ -219,7 +228,7 @@ def _match_cities(values: DataFrame, cities: DataFrame, states: list[tuple]) ->
                 hits = [own.city(v) for v in b.value]
                 yield pd.DataFrame({"value": b.value, "meant": [[{"entry": i, "region": r, "d": d, "slack": s} for i, r, d, s in h] for h, _ in hits], "hint": [h for _, h in hits]})
 
-        part = values.mapInPandas(search, schema)
+        part = _spread(values).mapInPandas(search, schema)
         found = part if found is None else found.unionByName(part)
     if n > 1:
         found = found.groupBy("value").agg(F.flatten(F.collect_list("meant")).alias("meant"), F.max("hint").alias("hint"))
@@ -234,7 +243,7 @@ def _match_states(values: DataFrame, states: list[tuple]) -> DataFrame:
         for b in batches:
             yield pd.DataFrame({"value": b.value, "state_id": [own.state(v) for v in b.value]})
 
-    return values.mapInPandas(search, "value string, state_id bigint")
+    return _spread(values).mapInPandas(search, "value string, state_id bigint")
 
 
 def _pick(meant: Column, region: Column) -> Column:

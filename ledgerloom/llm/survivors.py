@@ -48,7 +48,8 @@ def tokens(value: str, field: str) -> list[str]:
     if field == "phone":
         return list(value[-10:])
     host, _, path = value.removeprefix("https://").partition("/")
-    return [*reversed(host.split(".")), *(f"/{p}" for p in path.split("/") if p)]
+    parts = [f"/{p}" for p in path.split("/") if p]
+    return [*reversed(host.split(".")), *(parts if len(parts) <= 60 else ["".join(parts)])]
 
 
 Profile = list[dict[str, float]]
