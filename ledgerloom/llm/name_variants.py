@@ -17,11 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.dictionaries import GENERIC_NAME_KEYS, NULL_TOKENS
-from ledgerloom.llm.strings import closeness, monge_elkan, osa
+from ledgerloom.llm.strings import LONG, alike_long, monge_elkan, osa
 from ledgerloom.session import Kept
 
 Q = 3
@@ -29,6 +29,10 @@ ROWS = 4
 #: Wanted recall of candidates whose brand words have this Jaccard similarity.
 AT_JACCARD, RECALL = 0.5, 0.985
 SIMILAR = 0.78
+#: Of strings that similar, so large a part of the pairs of letters is shared.
+PAIR_SHARE = 0.5
+#: With so many shared, words may be in any order.
+TURNED_SHARE = 0.7
 #: A word in so large a part of all names is a kind word.
 KIND_SHARE, KIND_LEAST = 0.003, 12
 MAX_ROUNDS = 50
@@ -89,11 +93,12 @@ class Reader:
     def __init__(self, kinds: list[str], places: list[str]):
         self.places = {w for p in places for w in ["".join(re.findall(r"\w+", p.casefold()))]}
         self.kinds: list[str] = []
-        self.known: dict[str, str] = {w: w for w in BUSINESS}
+        self.known: dict[str, str] = {w: w for w in [*BUSINESS, *NICKNAMES.values()]}
         for w in kinds:
             if len(w) > 2 and w not in LEGAL and w not in TITLES and w not in self.places and w not in self.known:
                 self.known[w] = w
         self.kinds = list(dict.fromkeys(self.known))
+        self.letters = [(k, frozenset(k)) for k in self.kinds]
         self.business = set(BUSINESS)
         self.given = [w for w in self.kinds if w not in self.business and w not in SHORT]
         self.by_sound = {w: sounds(w) for w in self.given}
@@ -116,7 +121,8 @@ class Reader:
             hits = [k for k in self.business if k[0] == word[0] and re.match(".*".join(word), k)]
             return min(hits, key=lambda k: (len(k), k)) if hits else None
         most = 0 if len(word) < 4 else 1 if len(word) < 7 else 2
-        near = [(d, k) for k in self.kinds if abs(len(k) - len(word)) <= most and (d := osa(word, k, most)) <= most]
+        # an edit takes away one letter of the kind word at most
+        near = [(d, k) for k, own in self.letters if abs(len(k) - len(word)) <= most and len(own.difference(word)) <= most and (d := osa(word, k, most)) <= most]
         return min(near)[1] if near else None
 
     def nickname(self, word: str) -> str | None:
@@ -180,27 +186,55 @@ def kinds_agree(a: tuple[list[str], str], b: tuple[list[str], str]) -> bool:
 
 def brands_agree(a: list[str], b: list[str]) -> float:
     whole, other = "".join(a), "".join(b)
-    best = closeness(whole, other)
-    if best < SIMILAR and len(a) + len(b) > 2:
-        best = max(best, monge_elkan(a, b), closeness(whole, "".join(b[1:] + b[:1])), closeness(whole, "".join(b[-1:] + b[:-1])))
-    return best
+    if max(len(whole), len(other)) > LONG:
+        return alike_long(whole, other)
+    longest = max(len(whole), len(other))
+    most = int((1 - SIMILAR) * longest)
+    for text in dict.fromkeys((other, "".join(b[1:] + b[:1]), "".join(b[-1:] + b[:-1]))):
+        if (d := osa(whole, text, most)) <= most:
+            return 1 - d / longest
+    return monge_elkan(a, b) if len(a) + len(b) > 2 else 0.0
 
 
 def _signatures(strings: list[str], n_bands: int) -> np.ndarray:
     """Band keys of each string's padded q-grams."""
     rng = np.random.default_rng(20240)
     n = n_bands * ROWS
-    a = rng.integers(1, 2**31 - 1, n, dtype=np.uint64) | np.uint64(1)
-    b = rng.integers(0, 2**31 - 1, n, dtype=np.uint64)
+    a = rng.integers(1, 2**63 - 1, n, dtype=np.uint64) | np.uint64(1)
+    b = rng.integers(0, 2**63 - 1, n, dtype=np.uint64)
     powers = np.array([1_000_003**k % 2**61 for k in range(ROWS)], dtype=np.uint64)
-    out = np.empty((len(strings), n_bands), dtype=np.int64)
     salts = np.arange(n_bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for i, s in enumerate(strings):
+    grams, first = [], []
+    long = [i for i, s in enumerate(strings) if len(s) > 5_000]
+    if long and len(strings) > 1:
+        out = np.empty((len(strings), n_bands), dtype=np.int64)
+        short = [i for i in range(len(strings)) if len(strings[i]) <= 5_000]
+        if short:
+            out[short] = _signatures([strings[i] for i in short], n_bands)
+        for i in long:
+            out[i] = _signatures([strings[i]], n_bands)[0]
+        return out
+    if long:  # piece by piece, each gram once
+        padded = strings[0] + strings[0][: Q - 1]
+        seen = sorted({padded[j : j + Q] for j in range(len(padded) - Q + 1)})
+        strings = ["".join(g) for g in seen]
+    for s in strings:
         padded = s + s[: Q - 1] if len(s) >= Q else s + "$" * (Q - len(s))  # padded by its own beginning: turned word order keeps the grams
-        grams = np.array([zlib.crc32(padded[j : j + Q].encode()) for j in range(len(padded) - Q + 1)], dtype=np.uint64)
-        least = ((grams[:, None] * a + b) >> np.uint64(16) & np.uint64(0xFFFFFFFF)).min(axis=0).reshape(n_bands, ROWS)
-        out[i] = ((least * powers).sum(axis=1) ^ salts).view(np.int64)
-    return out
+        first.append(len(grams))
+        grams += [zlib.crc32(s.encode())] if long else [zlib.crc32(padded[j : j + Q].encode()) for j in range(len(padded) - Q + 1)]
+    hashed = (np.array(grams, dtype=np.uint64)[:, None] + b) * a
+    hashed ^= hashed >> np.uint64(29)
+    hashed *= np.uint64(0xBF58476D1CE4E5B9)
+    hashed >>= np.uint64(32)
+    least = hashed.min(axis=0)[None] if long else np.minimum.reduceat(hashed, first, axis=0)
+    least = least.reshape(-1, n_bands, ROWS)
+    return ((least * powers).sum(axis=2) ^ salts).view(np.int64)
+
+
+def pair_letters(x: Column) -> Column:
+    """The different pairs of neighbouring letters of a string read as a ring; none of a long string, which is compared as a whole."""
+    x = F.when(F.length(x) <= LONG, x).otherwise("")
+    return F.array_distinct(F.transform(F.when(F.length(x) > 0, F.sequence(F.lit(1), F.length(x))).otherwise(F.array().cast("array<int>")), lambda i: F.substring(F.concat(x, F.substring(x, 1, 1)), i, F.lit(2))))
 
 
 def mined_kinds(names: DataFrame) -> list[str]:
@@ -215,7 +249,7 @@ def star_clusters(edges: DataFrame, kept: Kept) -> DataFrame:
     """(v, centre) of every vertex of ``edges`` (v, u, both directions): in each round, vertices with the
     highest (degree, -id) among their open neighbours become centres and take those neighbours."""
     edges = kept.keep(edges, "open")
-    degree = edges.groupBy("v").agg(F.count("*").alias("d"))
+    degree = kept.keep(edges.groupBy("v").agg(F.count("*").alias("d")), "degree")
     edges = kept.keep(edges.join(degree, "v").join(degree.select(F.col("v").alias("u"), F.col("d").alias("du")), "u"), "open")
     done = None
     for _ in range(MAX_ROUNDS):
@@ -226,8 +260,8 @@ def star_clusters(edges: DataFrame, kept: Kept) -> DataFrame:
         done = new if done is None else done.unionByName(new)
         gone = new.select("v")
         edges = kept.keep(edges.join(gone, "v", "left_anti").join(gone.withColumnRenamed("v", "u"), "u", "left_anti"), "open")
-        if edges.isEmpty():
-            return done
+        if edges.isEmpty():  # who is left alone is its own centre
+            return degree.select("v").join(done, "v", "left").select("v", F.coalesce("centre", "v").alias("centre"))
     raise RuntimeError("star clustering did not settle")
 
 
@@ -258,8 +292,8 @@ def find_variants(rows: DataFrame, key: str, name: str, places: list[str] = ())
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for k in range(0, len(b), 2000):
-                part = b.iloc[k : k + 2000]
+            for k in range(0, len(b), 500):
+                part = b.iloc[k : k + 500]
                 keys = _signatures([x.replace(" ", "") for x in part.brand], n_bands)
                 yield pd.DataFrame({"band": keys.ravel(), "b": np.repeat(part.b.to_numpy(), n_bands)})
 
@@ -267,8 +301,18 @@ def find_variants(rows: DataFrame, key: str, name: str, places: list[str] = ())
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     banded = banded.join(shared, "band", "left_semi")
     met = banded.alias("x").join(banded.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.b") < F.col("y.b"))).select(F.col("x.b").alias("b1"), F.col("y.b").alias("b2")).distinct()
-    text = brands.select(F.col("b").alias("b1"), F.col("brand").alias("brand1")), brands.select(F.col("b").alias("b2"), F.col("brand").alias("brand2"))
+    words = F.split("brand", " ")
+    turned = [F.array_join(F.concat(F.slice(words, 2, F.size(words)), F.slice(words, 1, 1)), ""), F.array_join(F.concat(F.slice(words, F.size(words), 1), F.slice(words, 1, F.size(words) - 1)), "")]
+    whole = F.array_join(words, "")
+    lettered = kept.keep(brands.select("b", "brand", whole.alias("whole"), F.array_distinct(F.array(whole, *turned)).alias("turns"), pair_letters(whole).alias("letters")), "lettered")
+    text = [lettered.select(F.col("b").alias(f"b{i}"), F.col("brand").alias(f"brand{i}"), F.col("letters").alias(f"letters{i}"), F.col("whole" if i == 1 else "turns").alias(f"text{i}")) for i in (1, 2)]
     met = met.join(text[0], "b1").join(text[1], "b2")
+    # an edit changes two pairs of letters, and a transposition is two edits here; what can't be similar by that isn't measured further
+    shared = F.size(F.array_intersect("letters1", "letters2")) / F.greatest(F.size("letters1"), F.size("letters2"))
+    most = F.ceil(2 * (1 - SIMILAR) * F.greatest(F.length("text1"), F.length(F.get("text2", F.lit(0))))).cast("int")
+    near = F.exists("text2", lambda t: F.levenshtein("text1", t) <= most)
+    long = (F.size("letters1") == 0) | (F.size("letters2") == 0)
+    met = met.where(long | (shared >= TURNED_SHARE) | (shared >= PAIR_SHARE) & near)
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
