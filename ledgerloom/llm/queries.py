@@ -17,7 +17,8 @@ from ledgerloom.llm.main_body import mark_lines, mixed_texts, train
 from ledgerloom.llm.mixing import mix_sources
 from ledgerloom.llm.name_variants import find_variants
 from ledgerloom.llm.residue import find_residue
-from ledgerloom.llm.survivors import choose_survivors
+from ledgerloom.llm.survivors import DUMMIES, FILLED, choose_survivors
+from ledgerloom.plans import sql
 from ledgerloom.sources.tables import table
 
 WORDS = ", ".join(f"'{x}'" for x in NULL_TOKENS)
@@ -92,6 +93,22 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
     return p7_survivors(spark, folder).select("cin", "field", "id")
 
 
+def _p7_sql() -> str:
+    """The row that leads its group in all three criteria, where there is one; so it is in the tables."""
+    digits = f"substr({sql.phone('phone')}, 4)"
+    filled = " + ".join(f"CAST(NOT {sql.blank(f'CAST({c} AS VARCHAR)')} AS INT)" for c in FILLED)
+    return f"""
+WITH made AS (
+  SELECT id, {sql.cin('cin')} AS cin, {filled} AS filled, coalesce(updated_at, TIMESTAMP '1970-01-01') AS updated, coalesce(duplicate_count, 0) AS copies, {sql.website('website')} AS site, {digits} AS digits FROM companies),
+grouped AS (SELECT * FROM made WHERE cin IS NOT NULL AND id IS NOT NULL AND cin IN (SELECT cin FROM made WHERE cin IS NOT NULL GROUP BY cin HAVING count(DISTINCT id) > 1)),
+usable AS (
+  SELECT cin, 'website' AS field, id, filled, updated, copies FROM grouped
+  WHERE site IS NOT NULL AND NOT regexp_matches(regexp_extract(site, '^https://([^/]+)', 1), '^(?:localhost|example|test|invalid|website|domain|yourdomain|yoursite)(?:\\.|$)')
+  UNION ALL SELECT cin, 'phone', id, filled, updated, copies FROM grouped
+  WHERE digits IS NOT NULL AND left(digits, 8) <> repeat(left(digits, 1), 8) AND substr(digits, 2, 9) <> repeat(substr(digits, 2, 1), 9) AND digits NOT IN ({sql.words(DUMMIES)}))
+SELECT cin, field, first(id ORDER BY filled DESC, copies DESC, updated DESC, id) AS id FROM usable GROUP BY cin, field"""
+
+
 def p8_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
@@ -149,4 +166,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": P1_SQL,
+        "p7_found": _p7_sql(),
     }
