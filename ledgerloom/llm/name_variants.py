@@ -193,7 +193,8 @@ def brands_agree(a: list[str], b: list[str]) -> float:
     for text in dict.fromkeys((other, "".join(b[1:] + b[:1]), "".join(b[-1:] + b[:-1]))):
         if (d := osa(whole, text, most)) <= most:
             return 1 - d / longest
-    return monge_elkan(a, b) if len(a) + len(b) > 2 else 0.0
+    # two words have two orders, and both were measured
+    return monge_elkan(a, b) if max(len(a), len(b)) > 2 else 0.0
 
 
 def _signatures(strings: list[str], n_bands: int) -> np.ndarray:
