@@ -1,13 +1,17 @@
 """Values that hold no words of their own: unfilled slots, filler, error pages, script notices.
 
-Texts are cut into segments. Segments run down a prefix tree of fixed depth (number
-of tokens, first token, second token); in a leaf, tokens that are rare at their
-position become ``<*>``, which gives the leaf's message templates. Each template is
-classified once and the verdict goes to all segments of the template. Slots that stand
-unresolved inside ordinary text are looked for in every text, apart from templates.
-
-The mining is relational: token counts by leaf and position are aggregated before
-the shuffle, and no task sees a whole leaf.
+Texts are cut into segments, and numbers other than HTTP status codes become ``<*>``.
+Segments that are alike by that are one line, which is classified once; the verdict goes
+to all its segments. It depends on the line's own words only, never on how many other
+lines there are. Slots that stand unresolved inside ordinary text are looked for in
+every text, apart from lines.
+
+``mine_templates`` merges lines further: lines run down a prefix tree of fixed depth
+(number of tokens, first token, second token), and in a leaf tokens that are rare at
+their position become ``<*>``. What is rare depends on the leaf's size and would mask
+words of messages, so no verdict is taken from these templates. The mining is
+relational: token counts by leaf and position are aggregated before the shuffle, and
+no task sees a whole leaf.
 """
 
 from __future__ import annotations
@@ -132,9 +136,9 @@ def tokens_of(segment: Column) -> Column:
     return F.transform(words, lambda w: F.when(w.rlike(r"\p{N}") & ~w.rlike(r"^[45]\d\d\.?$"), F.lit("<*>")).otherwise(F.regexp_replace(w, r"\.+$", "")))
 
 
-def verdict(template: Column) -> Column:
-    """The kind of message a template is, or null."""
-    bare = F.regexp_replace(template, TAIL, "")
+def verdict(line: Column) -> Column:
+    """The kind of message a line or template is, or null."""
+    bare = F.regexp_replace(line, TAIL, "")
     words = F.split(bare, " ")
     latin = F.size(F.filter(words, lambda w: w.isin(*LOREM)))
     keys = F.size(F.filter(words, lambda w: w.isin(*KEYS)))
@@ -168,10 +172,8 @@ def find_residue(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     parts = rows.select(*keys, F.explode(F.split("_text", SEGMENTS)).alias("_part"))
     parts = parts.select(*keys, tokens_of(F.col("_part")).alias("tokens")).where(F.size("tokens") > 0)
     parts = kept.keep(parts.withColumn("line", F.xxhash64("tokens")), "parts")
-    mined = mine_templates(parts.dropDuplicates(["line"]).select("line", "tokens"))
-    mined = kept.keep(mined, "mined")
-    judged = mined.select("template").distinct().select("template", verdict(F.col("template")).alias("kind")).where("kind is not null")
-    flagged = mined.join(judged, "template").select("line", "kind")
-    counts = parts.groupBy("line").agg(F.count("*").alias("n_rows"))
-    messages = join_by_key(parts.select(*keys, "line"), flagged.join(counts, "line"), "line").select(*keys, "kind")
+    lines = parts.groupBy("line").agg(F.first("tokens").alias("tokens"), F.count("*").alias("n_rows"))
+    judged = lines.select("line", verdict(F.array_join("tokens", " ")).alias("kind"), "n_rows")
+    flagged = kept.keep(judged.where("kind is not null"), "flagged")
+    messages = join_by_key(parts.select(*keys, "line"), flagged, "line").select(*keys, "kind")
     return messages.unionByName(slots).distinct()

@@ -78,6 +78,14 @@ def test_residue_odd_cases(spark):
     assert residue.find_residue(spark.createDataFrame([], schema), ["k"], "t").count() == 0
 
 
+def test_residue_does_not_depend_on_the_other_lines(spark):
+    messages = ["404 Not Found", "503 Service Unavailable", "502 Bad Gateway", "401 Authorization Required", "520 Unknown Error", "403 Forbidden nginx"]
+    plain = ["dashboards", "monitors", "pages", "checks", "boards", "alerts", "feeds"]
+    data = [(i, f"HTTP Status {m}") for i, m in enumerate(messages)] + [(100 + i, f"HTTP status {w}") for i, w in enumerate(plain)]
+    got = residue.find_residue(spark.createDataFrame(data, "k long, t string"), ["k"], "t")
+    assert rows(got) == [(i, "error") for i in range(len(messages))]
+
+
 def test_templates_merge_rare_words(spark):
     lines = [f"order for {x} is late".split() for x in ("anna", "bob", "cora", "dan", "eve", "fay", "gus")]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "line long, tokens array<string>")
