@@ -183,6 +183,12 @@ def test_rewrites_are_mined(spark):
     assert found.get("blvd") == "boulevard"
 
 
+def test_names_stay_names_in_large_tables(spark):
+    words = F.array(F.when(F.col("id") % 300 == 0, "pilvinya").otherwise(F.concat(F.lit("w"), "id")), F.when(F.col("id") % 2 == 0, "floor").otherwise(F.concat(F.lit("x"), "id")))
+    df = spark.range(20_000).select(F.col("id").alias("a"), (F.col("id") % 97).cast("string").alias("door"), words.alias("words"))
+    assert addresses._common(df) == {"floor"}
+
+
 # pages ----------------------------------------------------------------------
 
 
