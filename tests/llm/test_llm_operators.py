@@ -183,6 +183,17 @@ def test_rewrites_are_mined(spark):
     assert found.get("blvd") == "boulevard"
 
 
+def test_rewrites_are_never_cut(spark, monkeypatch):
+    from ledgerloom.session import Kept
+
+    chain = {f"w{i}": f"w{i + 1}" for i in range(12)}
+    assert addresses.Reader(chain, {}, set()).words(["w0"]) == ["w12"]
+    monkeypatch.setattr(addresses, "MAX_ROUNDS", 1)
+    data = [(j * 60 + i, f"{i + 10}", [f"kalino{i}x", f"{i}borumes", w, "pune"]) for i in range(60) for j, w in enumerate(("boulevard", "blvd"))]
+    with pytest.raises(RuntimeError):
+        addresses.mine_rewrites(spark.createDataFrame(data, "a long, door string, words array<string>"), {"pune": "pune"}, Kept(spark))
+
+
 def test_names_stay_names_in_large_tables(spark):
     words = F.array(F.when(F.col("id") % 300 == 0, "pilvinya").otherwise(F.concat(F.lit("w"), "id")), F.when(F.col("id") % 2 == 0, "floor").otherwise(F.concat(F.lit("x"), "id")))
     df = spark.range(20_000).select(F.col("id").alias("a"), (F.col("id") % 97).cast("string").alias("door"), words.alias("words"))
