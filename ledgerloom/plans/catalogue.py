@@ -197,11 +197,16 @@ def _social_sql() -> str:
     WHERE platform IS NOT NULL AND {path} NOT IN ({sql.words(web.SOCIAL_NO_PROFILE)}) GROUP BY company_id, platform"""
 
 
+#: The number of a link to call, in double, single or no quotes.
+TEL_LINK = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*(["']?)\s*tel:([^"'>]*)"""
+
+
 def _page_phones(spark: SparkSession, folder: str) -> DataFrame:
-    """Each company's numbers with the page type they are first seen on."""
+    """Each company's numbers with the page type they are first seen on, of links to call and of the visible text."""
     text = F.regexp_replace("html", "<[^>]*>", " ")
+    linked = F.regexp_extract_all("html", F.lit(TEL_LINK), 2)
     raw_numbers = F.regexp_extract_all(text, F.lit(r"((?:\+?91[\- ]?)?0?[6-9]\d{9}\b)"), 1)
-    found = _wrapped(spark, folder).select("company_id", "page_type", "id", F.explode(raw_numbers).alias("n")).select("company_id", "page_type", "id", records.phone(F.col("n")).alias("phone")).where("phone is not null")
+    found = _wrapped(spark, folder).select("company_id", "page_type", "id", F.explode(F.concat(linked, raw_numbers)).alias("n")).select("company_id", "page_type", "id", records.phone(F.col("n")).alias("phone")).where("phone is not null")
     return found.groupBy("company_id", "phone").agg(F.min_by("page_type", F.struct((F.col("page_type") != "home").alias("later"), "id")).alias("source_page"))
 
 
@@ -273,6 +278,29 @@ def _keywords(spark: SparkSession, folder: str, k: int = 8) -> DataFrame:
     return top.select("company_id", F.array_join(F.transform("w", lambda x: x.word), " ").alias("keywords"))
 
 
+#: Words that are no keywords.
+STOP_WORDS = "the a an and or for of to in on with your our we is are be by from at as it that this you they their his her its all can will more most best your you're company startup private limited llp india based services solutions".split()
+
+
+def _company_keywords(spark: SparkSession, folder: str, k: int = 8) -> DataFrame:
+    """Up to k keywords of each company: industry, sector, its shop or blog system, then the most frequent words of its
+    last description without stop words; ties in the order of their first place, words alike but for case once."""
+    companies = table(spark, folder, "companies").select(F.col("id").alias("company_id"), *(records.label(F.col(c)).alias(c) for c in ("industry", "sector")))
+    rows = merging.latest(table(spark, folder, "company_enrichment").where("description is not null").select("company_id", "description", "updated_at"), ["company_id"], F.struct("updated_at", "description"))
+    tokens = rows.select("company_id", F.posexplode(F.regexp_extract_all(F.lower("description"), F.lit(r"([a-z][a-z0-9\-]{3,})"), 1)).alias("pos", "word"))
+    counts = tokens.where(~F.col("word").isin(*STOP_WORDS)).groupBy("company_id", "word").agg(F.count("*").alias("n"), F.min("pos").alias("pos"))
+    top = counts.groupBy("company_id").agg(F.transform(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "pos", "word"))), 1, k), lambda x: x.word).alias("words"))
+    systems = _technologies(spark, folder).where(F.col("technology").isin("Shopify", "WordPress")).groupBy("company_id").agg(F.array_sort(F.collect_set("technology")).alias("systems"))
+    joined = companies.join(systems, "company_id", "left").join(top, "company_id", "left")
+    none = F.array().cast("array<string>")
+    lead = F.array_compact(F.concat(F.array("industry", "sector"), F.coalesce("systems", none)))
+    # a word is added before its number is looked at, so one stands even behind k leading labels
+    room = F.greatest(F.lit(k) - F.size(lead), F.lit(1))
+    every = F.concat(lead, F.slice(F.coalesce("words", none), F.lit(1), room))
+    once = F.filter(every, lambda x, i: F.array_position(F.transform(every, lambda y: F.lower(y)), F.lower(x)) == i + 1)
+    return joined.select("company_id", F.slice(once, 1, k).alias("keywords"))
+
+
 def _orphans(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of child tables whose company is unknown, by table."""
     ids = table(spark, folder, "companies").select(F.col("id").alias("company_id"))
@@ -359,6 +387,7 @@ CATALOGUE: dict[str, tuple[Query, str | None]] = {
     "shard_paths": (_each("companies", "id", lambda: dict(path=pages.stored_path(urls.domain(F.col("website")), F.lit("home")))), f"SELECT id, concat_ws('/', substr(sha1(d), 1, 2), regexp_replace(d, '[^a-z0-9.\\-]', '_', 'g'), 'home.html.gz') AS path FROM (SELECT id, {sql.domain('website')} AS d FROM companies)"),
     "founded_years": (_each("company_enrichment", "company_id", lambda: dict(year=web.founded_year(F.col("description"), 2026).cast("string"))), r"SELECT company_id, CASE WHEN y BETWEEN 1900 AND 2026 THEN CAST(y AS VARCHAR) END AS year FROM (SELECT company_id, try_cast(regexp_extract(description, '(?i)(?:founded|established|est\.?|since|inception|incorporated)[^0-9]{0,20}(19\d{2}|20\d{2})', 1) AS INT) AS y FROM company_enrichment)"),
     "staff_phrases": (_each("company_enrichment", "company_id", lambda: dict(phrase=web.staff_phrase(F.col("description")))), r"SELECT company_id, coalesce(nullif(trim(regexp_extract(description, '(?i)(?:\d{1,3}(?:,\d{3})*|\d+)\s*\+?\s*(?:employees|team members|people|professionals)', 0)), ''), nullif(trim(regexp_extract(description, '(?i)team of\s+(?:\d{1,3}(?:,\d{3})*|\d+)\+?', 0)), '')) AS phrase FROM company_enrichment"),
+    "company_keywords": (_company_keywords, None),
     "keywords": (_keywords, r"WITH last AS (SELECT company_id, description FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY updated_at DESC, description DESC) AS k FROM company_enrichment WHERE description IS NOT NULL) WHERE k = 1), t AS (SELECT company_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM (SELECT company_id, regexp_extract_all(lower(description), '[a-z][a-z0-9\-]{3,}') AS w FROM last)), c AS (SELECT company_id, word, count(*) AS n, min(pos) AS pos FROM t GROUP BY company_id, word), r AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY n DESC, pos) AS k FROM c) SELECT company_id, string_agg(word, ' ' ORDER BY k) AS keywords FROM r WHERE k <= 8 GROUP BY company_id"),
     "incremental_domains": (incremental.domains_in_steps, f"SELECT id, {sql.domain('website')} AS domain FROM companies"),
 }

@@ -101,3 +101,25 @@ def test_micro_batches_do_nothing_twice(spark, tmp_path):
     args = (spark, src, spark.range(1).schema, lambda b: b, out, ck)
     assert work_off(*args) == 100 and work_off(*args) == 0
     assert spark.read.parquet(out).count() == 100
+
+
+def test_phones_of_links_to_call(spark, monkeypatch):
+    from ledgerloom.plans import catalogue
+
+    html = """<p>Call</p><a class="b" href="tel:+91-98765-43210">us</a><A HREF='tel:09123456780'>or</A><a data-href="tel:9000000001">no</a><a href="/tel">9888877776</a>"""
+    pages = spark.createDataFrame([(1, "contact", 2, html), (1, "home", 3, '<a href="tel:9876543210">x</a>')], "company_id long, page_type string, id long, html string")
+    monkeypatch.setattr(catalogue, "_wrapped", lambda *_: pages)
+    found = catalogue._page_phones(spark, "")
+    assert {tuple(r) for r in found.select("company_id", "phone", "source_page").collect()} == {(1, "+919876543210", "home"), (1, "+919123456780", "contact"), (1, "+919888877776", "contact")}
+
+
+def test_company_keywords(spark, monkeypatch):
+    from ledgerloom.plans import catalogue
+
+    tables = {
+        "companies": spark.createDataFrame([(1, "Logistics", "Freight"), (2, None, "n/a")], "id long, industry string, sector string"),
+        "company_enrichment": spark.createDataFrame([(1, "With your freight we move cargo, and cargo this way. Solutions based on barges", None)], "company_id long, description string, updated_at timestamp"),
+    }
+    monkeypatch.setattr(catalogue, "table", lambda s, f, name: tables[name])
+    monkeypatch.setattr(catalogue, "_technologies", lambda *_: spark.createDataFrame([(1, "WordPress"), (1, "jQuery")], "company_id long, technology string"))
+    assert dict(map(tuple, catalogue._company_keywords(spark, "").collect())) == {1: ["Logistics", "Freight", "WordPress", "cargo", "move", "barges"], 2: []}
