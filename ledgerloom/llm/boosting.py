@@ -34,20 +34,23 @@ class Boosted:
         self.trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if not len(y) or y.min() == y.max():
             return self
-        b = self.bins(x)
+        every = self.bins(x)
         score = np.full(len(y), self.base)
-        for _ in range(self.n_trees):
-            prob = 1 / (1 + np.exp(-score))
-            g, h = y - prob, prob * (1 - prob)
+        for k in range(self.n_trees):
+            # each tree is fitted on every other row, which halves the time and varies the trees
+            half = slice(k % 2, None, 2) if len(y) > 1000 else slice(None)
+            b, own = every[half], np.ascontiguousarray(every[half].T).astype(np.int32)
+            prob = 1 / (1 + np.exp(-score[half]))
+            g, h = y[half] - prob, prob * (1 - prob)
             feature, cut = np.zeros(2**self.depth - 1, int), np.full(2**self.depth - 1, 255, int)
-            node = np.zeros(len(y), int)
+            node = np.zeros(len(b), int)
             for level in range(self.depth):
                 first, n = 2**level - 1, 2**level
                 best = np.zeros(n)
                 at = node - first
                 total_g, total_h = np.bincount(at, g, n), np.bincount(at, h, n)
                 for j in range(b.shape[1]):
-                    cell = at * (BINS + 1) + b[:, j]
+                    cell = at * (BINS + 1) + own[j]
                     gl = np.bincount(cell, g, n * (BINS + 1)).reshape(n, BINS + 1).cumsum(1)[:, :-1]
                     hl = np.bincount(cell, h, n * (BINS + 1)).reshape(n, BINS + 1).cumsum(1)[:, :-1]
                     gr, hr = total_g[:, None] - gl, total_h[:, None] - hl
@@ -62,7 +65,10 @@ class Boosted:
                 node = 2 * node + 1 + (b[np.arange(len(b)), feature[node]] > cut[node])
             leaf = node - (2**self.depth - 1)
             value = self.rate * np.bincount(leaf, g, 2**self.depth) / (np.bincount(leaf, h, 2**self.depth) + self.penalty)
-            score += value[leaf]
+            node = np.zeros(len(y), int)
+            for _ in range(self.depth):
+                node = 2 * node + 1 + (every[np.arange(len(y)), feature[node]] > cut[node])
+            score += value[node - (2**self.depth - 1)]
             self.trees.append((feature, cut, value))
         return self
 

@@ -1,18 +1,25 @@
 """The main body of web pages, apart from menus, notices, side boxes and footers.
 
 A page is a tree of containers with lines of text. Boosted trees score every line by its
-text, its tag, the attribute words and depth of its containers, the density of the
-containers' subtrees and its siblings. They learn from lines that pages label themselves:
-lines in elements named for navigation and footers or in the stock wording of notices, and
-running sentences in the container that holds most of the text. Decoding over the tree
-then lets a container be boilerplate as a whole, or main text in which single lines may be
-boilerplate at a price; nothing under a boilerplate container stays main text.
+words, its tag, the attribute tokens and depth of its containers, the density of the
+containers' subtrees and its siblings. There are no labels and no lists of wordings: the
+trees learn from pages that say by their structure what is what. Lines in elements named
+for navigation, side boxes and footers are boilerplate, headings and running sentences in
+the container that holds the text are main body, and a line that repeats over hosts in
+boilerplate places is boilerplate wherever it stands. From these labels come the weights
+of words, pairs of words and attribute tokens, and the first trees, which see no names of
+elements; what they tell of unlabelled lines trains the final trees, which see everything.
+Decoding over the tree then lets a container be boilerplate as a whole, or main text in
+which single lines may be boilerplate at a price; nothing under a boilerplate container
+stays main text.
 """
 
 from __future__ import annotations
 
 import html as entities
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,79 +30,113 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.boosting import Boosted
 
 #: The classifier is fitted on the lines of at most so many pages, those with the lowest hashes, and on at most so many lines of each.
-TRAIN_PAGES, TRAIN_LINES = 1200, 300
+TRAIN_PAGES, TRAIN_LINES = 900, 300
 #: Log-odds that a boilerplate line in a main container, or a boilerplate container, must exceed.
 PRICE = 0.7
+#: Log-odds of the first trees from which an unlabelled line is a label for the final ones.
+SURE = 1.5
+#: A running sentence has so many words.
+SENTENCE = 5
+#: Words and pairs have weights if so many hosts have them, and a line that is no sentence is boilerplate if so many hosts have it letter for letter.
+HOSTS, REPEATS = 3, 4
+#: A container outside the main body's with a smaller part of the page's words than this is no second body.
+SMALL = 0.15
+#: The price of each change between boilerplate and own words inside one text, and the own words a mixed text has at least.
+SEAM, OWN_WORDS = 3.0, 4
+#: The weight of a word without one inside a text: boilerplate repeats its words, so what repeats nowhere is rather own.
+UNSEEN = -1.0
 
 CONTAINERS = {"div", "section", "header", "footer", "nav", "aside", "main", "article", "table", "tr", "tbody", "ul", "ol", "dl", "form", "body", "html"}
 HIDDEN = {"head", "script", "style", "noscript", "template", "title"}
 TAG_NO = {t: i for i, t in enumerate(("bare", "p", "div", "td", "li", "span", "a", "small", "h1", "h2", "h3", "button", "label"))}
-ATTR_AWAY = re.compile(r"nav|menu|foot|bottom|cookie|consent|banner|widget|aside|crumb|copyright|social|share|related|promo|topbar|\bck\b|[-_]end\b|[-_]top\b|sidebar\b(?!-main)")
-ATTR_MAIN = re.compile(r"main|content\b|article|post|story|body")
+#: Names that pages give to elements around the main body, and to the main body's own.
+AWAY = {"nav", "navbar", "navigation", "menu", "header", "banner", "footer", "contentinfo", "aside", "sidebar", "complementary", "widget", "breadcrumb", "breadcrumbs", "cookie", "cookies", "consent", "social", "share", "related", "promo", "copyright"}
+MAIN = {"main", "article", "content", "post", "story", "entry"}
+ENDS = ".!?।”\"'"
 SIMPLE = re.compile(r"<(p|li|a|span|td|small|h[1-6]|div|button|label|th|dt|dd)>([^<]*)</\1>$")
 TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<!--.*?-->|<![^>]*>", re.S)
+ATTRIBUTE = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+NUMBER = re.compile(r"\d+")
 
-MENU = {"home", "about", "us", "contact", "careers", "blog", "news", "team", "support", "services", "products", "pricing", "login", "gallery", "downloads", "partners", "investors", "faq", "terms", "privacy", "legal", "shipping", "refund", "policy", "sitemap", "menu", "register", "cart", "जानकारी"}
-CUES = MENU | {
-    "cookie", "cookies", "trackers", "consent", "identifiers", "techniques", "browsing", "choices", "necessary", "reject", "decline", "accept", "agree", "allow", "preferences", "settings", "rights", "reserved", "copyright", "©", "(c)",
-    "subscribe", "newsletter", "sign", "follow", "share", "tweet", "like", "print", "search", "archives", "categories", "tags", "comments", "reply", "related", "related:", "read", "continue", "recent", "posts", "popular", "latest",
-    "advertisement", "sponsored", "sponsored:", "ad:", "powered", "designed", "hosted", "visitors", "version", "toll", "download", "android", "ios", "language", "language:", "skip", "back", "top", "rate", "registered", "mark.", "cin", "gst",
-    "updated", "updates,", "spam", "media", "linkedin", "facebook", "instagram", "here:", "»", "सर्वाधिकार", "सुरक्षित", "कुकी", "स्वीकार", "advert", "promo", "bookmark", "mail", "labs", "studio", "builder", "visit", "reach",
-}
-FUNCTION = set("the a an of to in and for with that is are was we our it by on from at as has have who this which they i my you be not but or than more their his her them ने का की के में है से को और पर हम कि".split())
-START = {"skip", "home", "login", "back", "follow", "find", "search", "sign", "newsletter:", "rate", "share", "tweet", "print", "continue", "read", "related:", "ad:", "sponsored:", "latest", "top", "popular", "recent", "archives", "categories", "last", "visitors", "site", "toll", "designed", "made", "powered", "download", "©", "(c)", "copyright", "accept", "ok", "agree", "allow", "got", "consent", "before", "your", "by", "this", "language:", "advertisement", "सर्वाधिकार", "cin", "you"}
-
-KEEP = r"(?:cookies|trackers|small text files|local storage|device identifiers|similar techniques|similar technologies)"
-YES = r"(?:OK|Ok|Got it|Accept(?: all)?|Agree|Allow all|I understand|I agree)"
-PAGE = r"(?:Home|About Us|About|Contact(?: Us)?|Careers|Blog|News|Team|Support|Services|Products|Pricing|Login|Gallery|Downloads|Partners|Investors|FAQ|Terms of use|Terms|Privacy policy|Privacy|Legal|Shipping|Refund policy|Refunds|Sitemap|Imprint|Cookies|Disclaimer)"
-MONTH = r"(?:January|February|March|April|May|June|July|August|September|October|November|December)"
-NAME = r"(?:[A-Z][\w.&'’-]*(?: [A-Z][\w.&'’-]*){0,6})"
-#: Stock wording of notices, menus, side boxes and footers; the labels to learn from.
-STOCK = [
-    r"Skip to (?:main )?content(?: Menu)?", rf"{PAGE}(?:\s*[|·•/>»]\s*|\s+){PAGE}(?:(?:\s*[|·•/>»]\s*|\s+){PAGE})*", rf"You are here: Home(?: » {NAME})?", rf"Home (?:/|>|»|&gt;) [A-Z]\w+", PAGE,
-    rf"(?:This|The|Our|We|Our partners and we)\b(?: \w+){{0,3}} (?:may )?(?:uses?|stores?) {KEEP} (?:to|for) [a-z ]+[.]?(?: {YES})?", rf"By browsing on[^.]{{0,160}}[.](?: {YES})?", rf"{YES}! [^.;]{{0,40}} stores? {KEEP}[^.]{{0,60}}[.]",
-    rf"Before you go on: {KEEP}, [a-zA-Z ]+\?", rf"Consent needed: {KEEP} (?:to|for) [a-z]+(?: [a-z]+)*", r"Your privacy choices: [a-z]+(?:, [a-z]+)*", rf"{YES} \| (?:Reject|Decline|Only necessary) \| (?:More|Manage settings|Preferences)",
-    r"यह साइट कुकी का उपयोग करती है। स्वीकार करें", r"सर्वाधिकार सुरक्षित", r"Recent posts(?: a [a-z-]+(?: [a-z-]+){0,4})?", rf"Archives(?: {MONTH} \d{{4}})?", rf"{MONTH} \d{{4}} \(\d+\)", r"Categories(?: [a-z]+(?: [a-z]+)?)?", r"Popular tags: [a-z, ]+",
-    r"(?:Related|Read more|Latest job|Ad|Sponsored|Promoted): [a-z][a-z0-9 ,'-]*", r"Advertisement", r"You may also like", r"Search this site", r"Sign up for updates, no spam", r"Newsletter: [a-z ,-]+ \d+ readers do", r"Share this: [a-z]+(?: [a-z]+)?(?:, [a-z]+(?: [a-z]+)?)*",
-    r"Tweet\s+Like\s+Save", r"Rate this page: \d/\d", r"\d+ comments\. Leave a reply", r"Continue reading »?", r"Print this page", r"Top rated this (?:week|month|year)", r"Login \| Register(?: \| Cart \(\d+\))?", r"Language: English(?: / \S+)*", rf"Last updated \d+ {MONTH} \d{{4}}",
-    rf"© ?\d{{4}}(?:-\d{{4}})? [^.]{{1,90}}\. All rights reserved\.?", rf"\(c\) {NAME}, \d{{4}}(?:-\d{{4}})?", rf"Copyright {NAME} \d{{4}}", rf"{NAME} is a registered mark\.", rf"CIN and GST details of {NAME}", rf"Designed and hosted by {NAME}", rf"Made with care by {NAME}",
-    r"Powered by a friendly site builder", r"Download our app: Android \| iOS", r"Follow us: (?:LinkedIn Facebook Instagram|\w+(?:\s*\|?\s+\w{1,3}\b)*)", r"Find us on social media", r"Visitors so far: \d+", r"Site version \d+\.\d+", r"Toll free: [\d ]+\d", r"Back to top",
-]
-WHOLE = re.compile("(?:" + "|".join(f"(?:{x})" for x in STOCK) + r")\s*$")
-MENU_RUN = rf"{PAGE}(?:(?:\s*[|·•/>»]\s*|\s+){PAGE}){{2,}}(?![a-z])"
-INSIDE = re.compile(r"(?:(?<=^)|(?<=[\s.!?।]))(?:" + "|".join(f"(?:{x})" for x in [MENU_RUN, *(y for y in STOCK if y != PAGE and not y.startswith(f"{PAGE}("))]) + ")")
-
-
-def _text_features(text: str) -> tuple:
-    words = text.lower().split()
-    n = len(words)
-    kinds = set(words)
-    cues = len(kinds & CUES)
-    menu = len(kinds & MENU)
-    marks = text.count("|") + text.count("·") + text.count("»") + text.count(" / ") + text.count(" > ") + text.count("  ")
-    upper = sum(1 for w in text.split() if w[:1].isupper()) if n < 40 else n // 8
-    return (
-        n, len(text), text[-1] in ".!?।”\"'", text.count(","), sum(map(str.isdigit, text)) / len(text), marks, upper / n, len(kinds & FUNCTION) / n, cues / n, cues, menu / n,
-        words[0] in START, words[-1] in CUES, ":" in words[0] or n > 1 and ":" in words[1] or n > 2 and ":" in words[2], "©" in text or "(c)" in text or "rights" in kinds,
-        bool(kinds & {"cookies", "trackers", "identifiers", "techniques", "storage", "files", "privacy", "consent", "necessary", "कुकी"}), " ".join(words[1:3]) in {"us to", "to a", "leave our", "screens are", "lenses are", "dogs are", "the cost", "rights to", "is where"},
-    )
 
+def marks_of(tag: str, attributes: str) -> tuple[str, ...]:
+    """The tag, and the words of class, id and role."""
+    return (tag, *dict.fromkeys(w for a in ATTRIBUTE.findall(attributes) for w in re.findall(r"[a-z]+", a.lower()))) if attributes else (tag,)
 
-N_TEXT = 17
-N_ALL = N_TEXT + 22
 
+def words_of(text: str) -> list[str]:
+    """Words between blanks in lower case, each number a 0."""
+    return NUMBER.sub("0", text.lower()).split()
+
+
+class Weights:
+    """Log-odds for boilerplate of words, pairs of neighbours, whole lines and marks of elements; what wasn't seen has none."""
+
+    def __init__(self, words: dict, pairs: dict, lines: dict, marks: dict):
+        self.words, self.pairs, self.lines, self.marks = words, pairs, lines, marks
+
+    @classmethod
+    def count(cls, lines: list[tuple[str, str]], y: np.ndarray, hosts: list[str], paths: list[tuple[str, ...]]) -> Weights:
+        """From lines (text, tag) with labels: words and pairs by lines, where HOSTS have them (a host's own name has no weight), whole lines by hosts, marks by lines below them."""
+        n = [Counter(), Counter()]
+        seen: dict = {}
+        pairs: list[Counter] = [Counter(), Counter()]
+        marks: list[Counter] = [Counter(), Counter()]
+        whole: list[dict[str, set]] = [{}, {}]
+        total = [1.0, 1.0]
+        for (text, _), label, host, path in zip(lines, y, hosts, paths):
+            if label < 0:
+                continue
+            ws = words_of(text)
+            total[label] += len(ws)
+            n[label].update(ws)
+            both = list(zip(["<", *ws], [*ws, ">"]))
+            pairs[label].update(both)
+            for w in (*ws, *both):
+                if len(known := seen.setdefault(w, set())) < HOSTS:
+                    known.add(host)
+            marks[label].update(path)
+            if len(ws) < 30:  # longer lines have enough words of their own
+                whole[label].setdefault(" ".join(ws), set()).add(host)
+        base = math.log(total[1] / total[0])
+
+        def odds(c: list[Counter], least: int, shift: float) -> dict:
+            return {k: max(-4.0, min(4.0, math.log((c[1][k] + 0.5) / (c[0][k] + 0.5)) - shift)) for k in c[0].keys() | c[1].keys() if c[0][k] + c[1][k] >= least and len(seen.get(k, "all")) >= HOSTS}
+
+        sizes = [Counter({k: len(v) for k, v in w.items()}) for w in whole]
+        return cls(odds(n, HOSTS, base), odds(pairs, HOSTS, base), odds(sizes, 2, 0.0), odds(marks, 5, math.log(max(1, sum(marks[1].values())) / max(1, sum(marks[0].values())))))
+
+    def text_features(self, text: str) -> tuple:
+        masked, numbers = NUMBER.subn("0", text.lower())
+        ws = masked.split()
+        n = len(ws)
+        get, pair = self.words.get, self.pairs.get
+        own = [get(w, 0.0) for w in ws]
+        upper = len([1 for w in text.split() if w[0].isupper()])
+        return (
+            n, len(text), text[-1] in ENDS, text.count(","), numbers / n, upper / n, sum(own) / n, min(own), max(own), own[0], own[-1], own.count(0.0) / n,
+            pair(("<", ws[0]), 0.0), pair((ws[0], ws[1] if n > 1 else ">"), 0.0), pair((ws[-1], ">"), 0.0), self.lines.get(" ".join(ws), 0.0) if n < 30 else 0.0, ws[0][-1] == ":" or n > 1 and ws[1][-1] == ":",
+        )
+
+    def mark(self, path: tuple[str, ...]) -> float:
+        return sum(self.marks.get(m, 0.0) for m in path) / len(path)
+
+
+NO_WEIGHTS = Weights({}, {}, {}, {})
+N_TEXT = 17
+MEAN = 6  # the place of the mean weight among them
+#: Features that don't name elements, which the first trees see.
+UNNAMED = [*range(N_TEXT), *range(N_TEXT + 4, N_TEXT + 24)]
 
-class Pages:
-    """Collects the lines of many pages and turns them into features."""
 
-    def __init__(self):
-        self.memo: dict[str, tuple] = {}
+class Page:
+    """Lines (number, text, tag, container), and containers' parents, depths and marks."""
 
-    def parse(self, html: str) -> tuple[list, list]:
-        """Lines (number, text, tag, container) and containers (parent, depth, away, main)."""
-        containers = [(-1, 0, 0, 0)]
+    def __init__(self, html: str):
+        self.parent, self.depth, self.marks = [-1], [0], [("page",)]
+        self.lines: list[tuple[int, str, str, int]] = []
         stack: list[tuple[str, int]] = []
-        here, hidden, lines = 0, None, []
+        here, hidden, lines = 0, None, self.lines
         for number, line in enumerate(html.split("\n"), 1):
             line = line.strip()
             if not line:
@@ -137,11 +178,10 @@ class Pages:
                         if tag in ("tr", "li", "td") and stack and stack[-1][0] == tag:
                             here = stack.pop()[1]
                         stack.append((tag, here))
-                        parent = containers[here]
-                        marks = f"{tag} {m[3].lower()}" if m[3] else tag
-                        away = parent[2] + bool(ATTR_AWAY.search(marks)) + (tag == "header")
-                        containers.append((here, parent[1] + 1, away, parent[3] + bool(ATTR_MAIN.search(marks) and not ATTR_AWAY.search(marks))))
-                        here = len(containers) - 1
+                        self.parent.append(here)
+                        self.depth.append(self.depth[here] + 1)
+                        self.marks.append(marks_of(tag, m[3]))
+                        here = len(self.parent) - 1
                         leaf = tag if tag == "div" else leaf
                     else:
                         leaf = tag
@@ -151,92 +191,202 @@ class Pages:
                     out.append(part)
                     own = here
             text = " ".join(x.strip() for x in out).strip()
-            if text:
-                lines.append((number, entities.unescape(text) if "&" in text else text, leaf, own))
-        return lines, containers
-
-    def batch(self, htmls: list[str | None]) -> tuple[np.ndarray, ...]:
-        """Features of all lines of the pages; page, line number, container (over all pages) and text of each; parents and depths of containers."""
-        rows, page, number, inside, texts = [], [], [], [], []
-        parent, depth, away, main, page_of, first = [], [], [], [], [], 0
-        memo = self.memo
+            text = entities.unescape(text) if "&" in text else text
+            if text.strip():
+                lines.append((number, text, leaf, own))
+
+    def flat(self) -> Page:
+        """The page as bare text: its lines without tags and containers."""
+        other = Page("")
+        other.lines = [(no, text, "bare", 0) for no, text, _, _ in self.lines]
+        return other
+
+    def path(self, c: int) -> tuple[str, ...]:
+        """The marks of a container and those around it."""
+        out: list[str] = []
+        while c > 0:
+            out += self.marks[c]
+            c = self.parent[c]
+        return tuple(dict.fromkeys(out)) or ("page",)
+
+
+class Batch:
+    """The lines of many pages and their features."""
+
+    def __init__(self, pages: list[Page], weights: Weights, memo: dict[str, tuple]):
         if len(memo) > 300_000:
             memo.clear()
-        for p, html in enumerate(htmls):
-            if not html:
-                continue
-            lines, containers = self.parse(html)
-            for no, text, tag, c in lines:
+        rows, page, number, inside, self.texts = [], [], [], [], []
+        parent, depth, page_of, marks, first = [], [], [], [], 0
+        odds: dict[tuple[str, ...], float] = {}
+        for p, one in enumerate(pages):
+            for no, text, tag, c in one.lines:
                 f = memo.get(text)
                 if f is None:
-                    f = memo[text] = _text_features(text)
+                    f = memo[text] = weights.text_features(text)
                 rows.append(f)
                 page.append(p)
                 number.append(no)
                 inside.append(first + c)
-                texts.append((text, tag))
-            for q, d, a, m in containers:
+                self.texts.append((text, tag))
+            for q, d, m in zip(one.parent, one.depth, one.marks):
                 parent.append(first + q if q >= 0 else -1)
                 depth.append(d)
-                away.append(a)
-                main.append(m)
-            page_of += [p] * len(containers)
-            first += len(containers)
-        n = len(rows)
+                if m not in odds:
+                    odds[m] = weights.mark(m)
+                marks.append(odds[m])
+            page_of += [p] * len(one.parent)
+            first += len(one.parent)
+        self.page, self.number, self.inside = np.array(page, int), np.array(number, int), np.array(inside, int)
+        self.parent, self.depth, self.page_of = np.array(parent, int), np.array(depth, int), np.array(page_of, int)
+        self.text = np.array(rows, dtype=np.float32).reshape(-1, N_TEXT)
+        self.own_mark = np.array(marks, float)
+
+    def features(self) -> np.ndarray:
+        text, page, inside, parent, depth = self.text, self.page, self.inside, self.parent, self.depth
+        n, k = len(text), len(parent)
         if not n:
-            return np.zeros((0, N_ALL), np.float32), np.zeros(0, int), np.zeros(0, int), np.zeros(0, int), texts, np.zeros(0, int), np.zeros(0, int)
-        text = np.array(rows, dtype=np.float32)
-        page, number, inside = np.array(page), np.array(number), np.array(inside)
-        parent, depth, away, main, page_of = map(np.array, (parent, depth, away, main, page_of))
-        words, ends, cue = text[:, 0], text[:, 2], text[:, 8]
-        k = len(parent)
+            return np.zeros((0, N_TEXT + 24), np.float32)
+        words, ends, mean = text[:, 0], text[:, 2], text[:, MEAN]
         own_n, own_words = np.bincount(inside, minlength=k), np.bincount(inside, words, k)
-        own_ends, own_cue = np.bincount(inside, ends, k), np.bincount(inside, cue, k)
+        own_ends, own_mean = np.bincount(inside, ends, k), np.bincount(inside, mean, k)
         sub_n, sub_words = own_n.astype(float), own_words.copy()
-        for c in range(int(depth.max()), 0, -1):
-            at = np.flatnonzero(depth == c)
+        path_most, path_least = self.own_mark.copy(), self.own_mark.copy()
+        top = int(depth.max())
+        for d in range(top, 0, -1):
+            at = np.flatnonzero(depth == d)
             np.add.at(sub_n, parent[at], sub_n[at])
             np.add.at(sub_words, parent[at], sub_words[at])
+        for d in range(1, top + 1):
+            at = np.flatnonzero(depth == d)
+            path_most[at] = np.maximum(path_most[at], path_most[parent[at]])
+            path_least[at] = np.minimum(path_least[at], path_least[parent[at]])
         pages = page.max() + 1
         page_n, page_words = np.bincount(page, minlength=pages), np.bincount(page, words, pages)
-        start = np.zeros(pages, int)
-        np.add.at(start, page, 0)
         order = np.arange(n) - np.concatenate([[0], np.cumsum(page_n)])[page]
-        rank = order / np.maximum(1, page_n[page] - 1)
-        around = np.zeros((n, 6), np.float32)
-        same = np.concatenate([[False], page[1:] == page[:-1]])
-        for j, col in enumerate((words, ends, cue)):
-            around[1:, j] = np.where(same[1:], col[:-1], -1)
-            around[:-1, 3 + j] = np.where(same[1:], col[1:], -1)
-            around[0, j] = around[-1, 3 + j] = -1
+        around = np.full((n, 6), -9, np.float32)
+        same = page[1:] == page[:-1]
+        for j, col in enumerate((words, ends, mean)):
+            around[1:, j][same] = col[:-1][same]
+            around[:-1, 3 + j][same] = col[1:][same]
         biggest = np.zeros(pages)
-        np.maximum.at(biggest, page_of, own_words)
+        here = self.page_of < pages
+        np.maximum.at(biggest, self.page_of[here], own_words[here])
         safe = np.maximum(1, own_n)
         up = np.where(parent[inside] >= 0, parent[inside], inside)
         node = np.stack([
-            np.array([TAG_NO.get(t, 20) for _, t in texts]), depth[inside], away[inside], main[inside], own_n[inside], (own_words / safe)[inside], (own_ends / safe)[inside], (own_cue / safe)[inside],
-            own_words[inside] / np.maximum(1, page_words[page]), own_words[inside] / np.maximum(1, biggest[page]), sub_words[inside] / np.maximum(1, sub_n[inside]), sub_words[up] / np.maximum(1, sub_n[up]), rank, np.minimum(order, 40),
-            np.minimum(page_n[page] - order, 40), page_n[page],
+            np.array([TAG_NO.get(t, 20) for _, t in self.texts]), self.own_mark[inside], path_most[inside], path_least[inside],
+            depth[inside], own_n[inside], (own_words / safe)[inside], (own_ends / safe)[inside], (own_mean / safe)[inside], own_words[inside] / np.maximum(1, page_words[page]), own_words[inside] / np.maximum(1, biggest[page]),
+            sub_words[inside] / np.maximum(1, sub_n[inside]), sub_words[up] / np.maximum(1, sub_n[up]), sub_words[up] / np.maximum(1, page_words[page]), order / np.maximum(1, page_n[page] - 1), np.minimum(order, 40), np.minimum(page_n[page] - order, 40), page_n[page],
         ], axis=1)
-        return np.concatenate([text, node, around], axis=1).astype(np.float32), page, number, inside, texts, parent, depth
-
-
-def labels(x: np.ndarray, texts: list[tuple[str, str]]) -> np.ndarray:
-    """1 boilerplate, 0 main text, -1 not clear, by what the page itself says."""
-    out = np.full(len(x), -1)
-    for i, (text, tag) in enumerate(texts):
-        words, ends, away, share = x[i, 0], x[i, 2], x[i, N_TEXT + 2], x[i, N_TEXT + 9]
-        if WHOLE.match(text):
-            out[i] = 1
-        elif tag in ("h1", "h2", "h3"):
-            out[i] = 0
-        elif away > 0 and x[i, N_TEXT + 3] == 0:
-            out[i] = 1 if words < 14 else -1
-        elif share > 0.5 and (ends and words > 3 or words > 12):
-            out[i] = 0
-        elif share > 0.9 and x[i, N_TEXT + 5] > 12 and words > 1 and not x[i, 9]:
-            out[i] = 0
-    return out
+        return np.concatenate([text, node, around], axis=1).astype(np.float32)
+
+    def share(self) -> np.ndarray:
+        """The part of its page's words that the container of each line holds itself."""
+        words = np.array([len(t.split()) for t, _ in self.texts], float)
+        own = np.bincount(self.inside, words, len(self.parent))
+        return own[self.inside] / np.maximum(1, np.bincount(self.page, words)[self.page]) if len(words) else words
+
+
+def seeds(pages: list[Page], hosts: list[str], batch: Batch) -> np.ndarray:
+    """1 boilerplate, 0 main body, -1 not clear.
+
+    By the names of elements and by place: small containers outside the one that holds the main body are boilerplate. Then by repetition: what repeats
+    over hosts in boilerplate places, or is no sentence and repeats over many hosts letter for letter, is boilerplate where it isn't main body somewhere.
+    """
+    share, y = batch.share(), []
+    lines = [(p, *x) for p, one in enumerate(pages) for x in one.lines]
+    paths: dict[tuple[int, int], tuple[bool, bool]] = {}
+    body: dict[int, tuple[float, int]] = {}
+    for i, (p, _, _, _, c) in enumerate(lines):
+        if (p, c) not in paths:
+            own = set(pages[p].path(c))
+            paths[p, c] = bool(own & AWAY), bool(own & MAIN)
+        if c and share[i] > 0.5 and not paths[p, c][0]:
+            body[p] = max(body.get(p, (0.0, 0)), (share[i], c))
+    for i, (p, _, text, tag, c) in enumerate(lines):
+        away, main = paths[p, c]
+        long = len(text.split()) >= SENTENCE and text[-1] in ENDS
+        around, at = p in body, c
+        while around and at >= 0:
+            around, at = at != body[p][1], pages[p].parent[at]
+        if tag in ("h1", "h2", "h3") and not away:
+            y.append(0)
+        elif away and not main and not (long and len(text) > 100) or around and share[i] < SMALL:
+            y.append(1)
+        else:
+            y.append(0 if long and not away and c and (main and share[i] >= SMALL or share[i] > 0.5) else -1)
+    known = np.array(y, int)
+    places: dict[str, list[set]] = {}
+    repeated: dict[str, set] = {}
+    for k, (p, _, text, _, _) in zip(known, lines):
+        repeated.setdefault(text, set()).add(hosts[p])
+        if k >= 0:
+            places.setdefault(" ".join(words_of(text)), [set(), set()])[k].add(hosts[p])
+    for i in np.flatnonzero(known < 0):
+        p, _, text, _, _ = lines[i]
+        main, away = places.get(" ".join(words_of(text)), (set(), set()))
+        if not main and (len(away - {hosts[p]}) >= 2 or len(repeated[text]) >= REPEATS and text[-1] not in ENDS):
+            known[i] = 1
+    return known
+
+
+class Model:
+    """Trees for lines in their page and for texts that stand in none, and the weights both use."""
+
+    def __init__(self, weights: Weights, in_page: Boosted, alone: Boosted):
+        self.weights, self.in_page, self.alone = weights, in_page, alone
+
+    def state(self) -> dict:
+        w = self.weights
+        return {"weights": (w.words, w.pairs, w.lines, w.marks), "in_page": self.in_page.state(), "alone": self.alone.state()}
+
+    @classmethod
+    def of(cls, state: dict) -> Model:
+        return cls(Weights(*state["weights"]), Boosted.of(state["in_page"]), Boosted.of(state["alone"]))
+
+
+def fit(htmls: list[str], hosts: list[str]) -> Model:
+    """A model of the pages given. Weights are never taken from the fold of hosts whose lines they describe to the trees."""
+    pages = [Page(h) for h in htmls]
+    for p in pages:
+        p.lines = [x for x in p.lines if x[0] <= TRAIN_LINES]
+    plain = Batch(pages, NO_WEIGHTS, {})
+    y = seeds(pages, hosts, plain)
+    names = [hosts[p] for p in plain.page]
+    path = [[pages[p].path(c) for c in range(len(pages[p].parent))] for p in range(len(pages))]
+    paths = [path[p][x[3]] for p, one in enumerate(pages) for x in one.lines]
+    fold = np.array([sum(h.encode()) % 2 for h in hosts], int)
+    own_fold = fold[plain.page] if len(plain.page) else np.zeros(0, int)
+    # pages have structure or are bare text, and the trees must do with either: each page counts as both
+    flat = [p.flat() for p in pages]
+
+    def crossed(y: np.ndarray) -> np.ndarray:
+        x = np.zeros((2 * len(y), N_TEXT + 24), np.float32)
+        for f in (0, 1):
+            weights, memo = Weights.count(plain.texts, np.where(own_fold == f, -1, y), names, paths), {}
+            mine = own_fold == f
+            for k, form in enumerate((pages, flat)):
+                x[k * len(y) : (k + 1) * len(y)][mine] = Batch(form, weights, memo).features()[mine]
+        return x
+
+    x, both = crossed(y), np.concatenate([y, y])
+    first = Boosted().fit(x[both >= 0][:, UNNAMED], both[both >= 0])
+    score = first.log_odds(x[:, UNNAMED])
+    score = (score[: len(y)] + score[len(y) :]) / 2
+    y = np.where(y >= 0, y, np.where(score > SURE, 1, np.where(score < -SURE, 0, -1)))
+    x, both = crossed(y), np.concatenate([y, y])
+    in_page = Boosted().fit(x[both >= 0], both[both >= 0])
+    return Model(Weights.count(plain.texts, y, names, paths), in_page, Boosted().fit(x[: len(y)][y >= 0][:, :N_TEXT], y[y >= 0]))
+
+
+def train(pages: DataFrame, key: str, html: str) -> Model:
+    """A model fitted on the lines of at most TRAIN_PAGES pages, the same ones on every run. The host of a page is the part of the key before its last slash."""
+    n = pages.count()
+    share = min(1.0, 1.3 * TRAIN_PAGES / max(1, n))
+    some = pages.select(F.pmod(F.xxhash64(key), F.lit(1_000_000)).alias("h"), F.col(key).alias("key"), F.col(html).alias("html")).where(F.col("html").isNotNull() & F.col("key").isNotNull() & (F.col("h") < int(share * 1_000_000) + 1))
+    got = some.orderBy("h", "key").limit(TRAIN_PAGES).select("key", F.substring_index("html", "\n", TRAIN_LINES).alias("html")).toPandas()
+    return fit(list(got.html), [k.rpartition("/")[0] or k for k in got.key])
 
 
 def decode(score: np.ndarray, inside: np.ndarray, parent: np.ndarray, depth: np.ndarray, price: float = PRICE) -> np.ndarray:
@@ -257,34 +407,7 @@ def decode(score: np.ndarray, inside: np.ndarray, parent: np.ndarray, depth: np.
     return state[inside] | (score > price)
 
 
-def train(pages: DataFrame, key: str, html: str) -> tuple[Boosted, Boosted]:
-    """Classifiers fitted on the lines of at most TRAIN_PAGES pages, the same ones on every run: for lines in their page, and for pieces of text that stand in none."""
-    n = pages.count()
-    share = min(1.0, 1.3 * TRAIN_PAGES / max(1, n))
-    some = pages.select(F.pmod(F.xxhash64(key), F.lit(1_000_000)).alias("h"), F.col(html).alias("html")).where(F.col("h") < int(share * 1_000_000) + 1).orderBy("h").limit(TRAIN_PAGES).select("html")
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = Pages()
-        for b in batches:
-            x, page, number, *_, texts, _, _ = own.batch(list(b.html))
-            y = labels(x, texts)
-            use = (y >= 0) & (number <= TRAIN_LINES)
-            yield pd.DataFrame({"x": list(x[use]), "y": y[use]})
-
-    got = some.repartition(4).mapInPandas(rows, "x array<float>, y int").toPandas()
-    x, y = np.array(got.x.tolist(), dtype=np.float32).reshape(-1, N_ALL), got.y.to_numpy()
-    # headings are headings under any tag
-    heads = x[(x[:, N_TEXT] >= TAG_NO["h1"]) & (x[:, N_TEXT] <= TAG_NO["h3"])]
-    for tag in ("bare", "p", "div", "td", "li", "span"):
-        other = heads.copy()
-        other[:, N_TEXT] = TAG_NO[tag]
-        x, y = np.concatenate([x, other]), np.concatenate([y, np.zeros(len(other), y.dtype)])
-    order = np.lexsort(x.T)
-    x, y = x[order], y[order]
-    return Boosted().fit(x, y), Boosted().fit(x[:, :N_TEXT], y)
-
-
-def mark_lines(pages: DataFrame, key: str, html: str, model: Boosted) -> DataFrame:
+def mark_lines(pages: DataFrame, key: str, html: str, model: Model) -> DataFrame:
     """(record_key, line_no) of each visible line that is boilerplate; lines count from 1.
 
     Null and empty pages and null keys give no row. A page without a tag is bare text whose lines are siblings.
@@ -292,15 +415,15 @@ def mark_lines(pages: DataFrame, key: str, html: str, model: Boosted) -> DataFra
     sent = pages.sparkSession.sparkContext.broadcast(model.state())
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, model = Pages(), Boosted.of(sent.value)
+        model, memo = Model.of(sent.value), {}
         for b in batches:
             for at in range(0, len(b), 1000):
                 part = b.iloc[at : at + 1000]
-                x, page, number, inside, _, parent, depth = own.batch(list(part.html))
-                if not len(x):
+                own = Batch([Page(h) for h in part.html], model.weights, memo)
+                if not len(own.page):
                     continue
-                away = decode(model.log_odds(x), inside, parent, depth)
-                page, number = page[away], number[away]
+                away = decode(model.in_page.log_odds(own.features()), own.inside, own.parent, own.depth)
+                page, number = own.page[away], own.number[away]
                 ends = np.searchsorted(page, np.arange(len(part) + 1))
                 yield pd.DataFrame({"record_key": part.record_key, "lines": [number[ends[i] : ends[i + 1]] for i in range(len(part))]})
 
@@ -308,43 +431,65 @@ def mark_lines(pages: DataFrame, key: str, html: str, model: Boosted) -> DataFra
     return kept.mapInPandas(mark, "record_key string, lines array<int>").select("record_key", F.explode("lines").alias("line_no"))
 
 
-def mixed_texts(texts: DataFrame, key: str, text: str, model: Boosted) -> DataFrame:
+def pieces(text: str, weights: Weights) -> list[tuple[str, bool]]:
+    """A text of one line cut where its words turn from boilerplate to own ones and back: (piece, whether its words are boilerplate's).
+
+    The labelling of words with the highest total weight, each change at its price; it can change only before a word that may begin a line.
+    """
+    shown = text.split()
+    ws = words_of(text)
+    if len(ws) != len(shown):  # a letter whose lower case holds a blank
+        ws = [NUMBER.sub("0", w.lower()) for w in shown]
+    shouted = text.isupper()
+    pair, one = weights.pairs.get, weights.words.get
+    own, away = 0.0, -SEAM
+    back: list[tuple[int, int]] = []
+    for i, w in enumerate(ws):
+        after_end = i == 0 or shown[i - 1][-1] in ENDS
+        begins = after_end or not (shouted or shown[i][0].islower())
+        single = one(w, UNSEEN)
+        inner = pair((ws[i - 1], w), single) if i else single
+        start = pair(("<", w), single)
+        stay, turn = own - inner, away - SEAM - start
+        next_own = (turn, 1) if begins and turn > stay else (stay, 0)
+        stay, turn = away + inner, own - SEAM + start
+        next_away = (turn, 0) if after_end and turn > stay else (stay, 1)
+        own, away = next_own[0], next_away[0]
+        back.append((next_own[1], next_away[1]))
+    best = (own, away)
+    state, states = int(best[1] > best[0]), []
+    for i in range(len(ws) - 1, -1, -1):
+        states.append(state)
+        state = back[i][state]
+    states.reverse()
+    out: list[tuple[list[str], bool]] = []
+    for w, s in zip(shown, states):
+        if out and out[-1][1] == bool(s):
+            out[-1][0].append(w)
+        else:
+            out.append(([w], bool(s)))
+    return [(" ".join(p), s) for p, s in out]
+
+
+def mixed_texts(texts: DataFrame, key: str, text: str, model: Model) -> DataFrame:
     """(key) of texts of one line in which boilerplate stands beside words of their own, each once.
 
-    Pieces in stock wording are scored as lines between the rest; null and empty texts, texts all of boilerplate and texts without it give no row.
+    Texts are cut by ``pieces`` and the trees for lines alone judge every piece. Null and empty texts, texts all of boilerplate and texts without it give no row.
     """
     sent = texts.sparkSession.sparkContext.broadcast(model.state())
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, model = Pages(), Boosted.of(sent.value)
+        model = Model.of(sent.value)
         for b in batches:
-            cut, pieces = [], []
-            for k, t in zip(b.key, b.text):
-                found = [m for m in INSIDE.finditer(t) if m[0].strip()]
-                if not found:
-                    continue
-                at, lines, marks = 0, [], []
-                for m in found:
-                    if rest := t[at : m.start()].strip():
-                        lines.append(rest)
-                        marks.append(False)
-                    lines.append(m[0].strip())
-                    marks.append(True)
-                    at = m.end()
-                if rest := t[at:].strip():
-                    lines.append(rest)
-                    marks.append(False)
-                cut.append((k, marks, sum(len(x.split()) for x, m in zip(lines, marks) if not m)))
-                pieces.append("\n".join(lines))
-            x, page, *_ = own.batch(pieces)
-            score = model.log_odds(x[:, :N_TEXT])
-            out = []
-            ends = np.searchsorted(page, np.arange(len(cut) + 1))
-            for i, (k, marks, rest) in enumerate(cut):
-                s = score[ends[i] : ends[i + 1]]
-                if rest >= 4 and any(m and v > 0 for m, v in zip(marks, s)):
-                    out.append(k)
-            yield pd.DataFrame({"key": out})
-
-    kept = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key is not null and text is not null").distinct()
+            rows, of = [], []
+            for i, t in enumerate(b.text):
+                for piece, away in pieces(t, model.weights):
+                    rows.append((*model.weights.text_features(piece), away))
+                    of.append(i)
+            x, of = np.array(rows, np.float32).reshape(-1, N_TEXT + 1), np.array(of, int)
+            away = (model.alone.log_odds(x[:, :N_TEXT]) > SURE) & (x[:, N_TEXT] > 0)
+            own = np.bincount(of, np.where(away, 0, x[:, 0]), len(b))
+            yield b.loc[(np.bincount(of, away, len(b)) > 0) & (own >= OWN_WORDS), ["key"]]
+
+    kept = texts.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key is not null and trim(text) <> ''").distinct()
     return kept.mapInPandas(find, kept.select("key").schema).distinct().withColumnRenamed("key", key)

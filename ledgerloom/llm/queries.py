@@ -79,9 +79,9 @@ def p5_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "page_store")
-    in_page, alone = train(pages, "stored_path", "html")
-    lines = mark_lines(pages, "stored_path", "html", in_page).select(F.lit("page").alias("field"), "record_key", F.col("line_no").cast("int").alias("line_no"))
-    mixed = mixed_texts(table(spark, folder, "company_enrichment"), "company_id", "description", alone)
+    model = train(pages, "stored_path", "html")
+    lines = mark_lines(pages, "stored_path", "html", model).select(F.lit("page").alias("field"), "record_key", F.col("line_no").cast("int").alias("line_no"))
+    mixed = mixed_texts(table(spark, folder, "company_enrichment"), "company_id", "description", model)
     return lines.unionByName(mixed.select(F.lit("description").alias("field"), F.col("company_id").cast("string").alias("record_key"), F.lit(1).alias("line_no")))
 
 

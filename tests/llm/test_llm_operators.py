@@ -203,22 +203,47 @@ def test_names_stay_names_in_large_tables(spark):
 # pages ----------------------------------------------------------------------
 
 
-def page(i):
+def page(i, kind="nav main footer", extra=""):
+    head, middle, foot = kind.split()
+    tag = lambda x: (x, x) if x in ("nav", "main", "footer") else (f'div class="{x}"', "div")
+    (h, h_), (m, m_), (f, f_) = tag(head), tag(middle), tag(foot)
     body = "".join(f"<p>The team {w} in {i} built a machine for farmers, and it still works every day.</p>\n" for w in ("here", "there", "nearby", "again"))
-    return f"<html><head>\n<title>t</title></head><body>\n<nav>\n<li>Home</li>\n<li>About</li>\n<li>Contact</li>\n</nav>\n<main>\n<h1>Welcome at X {i}</h1>\n{body}<p>Print this page</p>\n</main>\n<footer>\n<p>Visitors so far: {i}</p>\n<p>Back to top</p>\n</footer>\n</body></html>"
+    return f"<html><head>\n<title>t</title></head><body>\n<{h}>\n<li>Zuhause</li>\n<li>Wir</li>\n<li>Kontakt</li>\n</{h_}>\n<{m}>\n<h1>Welcome at X {i}</h1>\n{body}<p>Seite drucken</p>\n{extra}</{m_}>\n<{f}>\n<p>Besucher bisher: {i}</p>\n<p>Ganz nach oben</p>\n</{f_}>\n</body></html>"
+
+
+MARKED = ["<li>Zuhause</li>", "<li>Wir</li>", "<li>Kontakt</li>", "<p>Seite drucken</p>", "<p>Besucher bisher: 3</p>", "<p>Ganz nach oben</p>"]
 
 
 def test_main_body(spark):
-    df = spark.createDataFrame([(f"p{i}", page(i), 1) for i in range(60)] + [("null", None, 1), ("empty", "", 1), (None, page(1), 1), ("long", LONG, 1)], "stored_path string, html string, line_no int")
-    in_page, alone = main_body.train(df, "stored_path", "html")
-    got = main_body.mark_lines(df, "stored_path", "html", in_page)
+    pages = [(f"p{i}", page(i), 1) for i in range(60)]
+    df = spark.createDataFrame(pages + [("null", None, 1), ("empty", "", 1), (None, page(1), 1), ("long", LONG, 1)], "stored_path string, html string, line_no int")
+    model = main_body.train(df, "stored_path", "html")
+    got = main_body.mark_lines(df, "stored_path", "html", model)
     lines = page(3).split("\n")
-    marked = [lines[r.line_no - 1] for r in got.where("record_key = 'p3'").orderBy("line_no").collect()]
-    assert marked == ["<li>Home</li>", "<li>About</li>", "<li>Contact</li>", "<p>Print this page</p>", "<p>Visitors so far: 3</p>", "<p>Back to top</p>"]
+    assert [lines[r.line_no - 1] for r in got.where("record_key = 'p3'").orderBy("line_no").collect()] == MARKED
     assert got.where("record_key in ('null', 'empty') or record_key is null").count() == 0
-    texts = [(1, "Skip to content Menu Home | About | Contact We build machines for farmers in Pune."), (2, "We build machines for farmers in Pune."), (3, "Back to top"), (4, None), (5, "Cookies leave our oven at six, and the menu changes with the season.")]
-    assert rows(main_body.mixed_texts(spark.createDataFrame([(*t, "x") for t in texts], "k long, t string, key string"), "k", "t", alone)) == [(1,)]
-    assert main_body.mark_lines(df.limit(0), "stored_path", "html", main_body.train(df.limit(0), "stored_path", "html")[0]).count() == 0
+    texts = [(1, "Zuhause Wir Kontakt The machine still works every day in Pune."), (2, "We built a machine for farmers in Pune."), (3, "Ganz nach oben"), (4, None), (5, "  "), (6, LONG)]
+    assert rows(main_body.mixed_texts(spark.createDataFrame([(*t, "x") for t in texts], "k long, t string, key string"), "k", "t", model)) == [(1,)]
+    assert main_body.mark_lines(df.limit(0), "stored_path", "html", main_body.train(df.limit(0), "stored_path", "html")).count() == 0
+
+
+def test_main_body_of_hosts_and_names_never_seen():
+    """Wording that no list knows is learned, and holds on hosts whose elements have no telling names, or none."""
+    model = main_body.fit([page(i) for i in range(60)], [f"h{i}" for i in range(60)])
+    strange = page(3, "c7a c7b c7a")
+    bare = "\n".join(main_body.TAG.sub("", x) for x in page(3).split("<body>")[1].split("\n"))
+    for html in (strange, bare):
+        own = main_body.Batch([main_body.Page(html)], model.weights, {})
+        away = main_body.decode(model.in_page.log_odds(own.features()), own.inside, own.parent, own.depth)
+        assert [own.texts[i][0] for i in range(len(away)) if away[i]] == [main_body.TAG.sub("", x) for x in MARKED]
+
+
+def test_the_trees_decide():
+    """Without trees nothing is marked, whatever the weights are."""
+    model = main_body.fit([page(i) for i in range(60)], [f"h{i}" for i in range(60)])
+    own = main_body.Batch([main_body.Page(page(3))], model.weights, {})
+    model.in_page.trees, model.in_page.base = [], -1.0
+    assert not main_body.decode(model.in_page.log_odds(own.features()), own.inside, own.parent, own.depth).any()
 
 
 def test_decoding_has_no_main_line_below_boilerplate():
