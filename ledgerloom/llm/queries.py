@@ -45,13 +45,14 @@ SELECT v AS company_id, min(r) AS group_id FROM reach GROUP BY v
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
-    """(field, company_id, text) of titles and descriptions."""
-    titles = table(spark, folder, "website_probes").select(F.lit("title").alias("field"), "company_id", F.col("title").alias("text"))
-    return titles.unionByName(table(spark, folder, "company_enrichment").select(F.lit("description").alias("field"), "company_id", F.col("description").alias("text")))
+    """(field, company_id, text, host, title) of titles and descriptions."""
+    titles = table(spark, folder, "website_probes").select(F.lit("title").alias("field"), "company_id", F.col("title").alias("text"), F.col("domain").alias("host"), F.lit(True).alias("title"))
+    descriptions = table(spark, folder, "company_enrichment").select(F.lit("description").alias("field"), "company_id", F.col("description").alias("text"), F.lit(None).cast("string").alias("host"), F.lit(False).alias("title"))
+    return titles.unionByName(descriptions)
 
 
 def p2_kinds(spark: SparkSession, folder: str) -> DataFrame:
-    return find_residue(_texts(spark, folder).where("company_id is not null"), ["field", "company_id"], "text")
+    return find_residue(_texts(spark, folder).where("company_id is not null"), ["field", "company_id"], "text", "host", "title")
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,17 +1,16 @@
 """Values that hold no words of their own: unfilled slots, filler, error pages, script notices.
 
-Texts are cut into segments, and numbers other than HTTP status codes become ``<*>``.
-Segments that are alike by that are one line, which is classified once; the verdict goes
-to all its segments. It depends on the line's own words only, never on how many other
-lines there are. Slots that stand unresolved inside ordinary text are looked for in
-every text, apart from lines.
-
-``mine_templates`` merges lines further: lines run down a prefix tree of fixed depth
-(number of tokens, first token, second token), and in a leaf tokens that are rare at
-their position become ``<*>``. What is rare depends on the leaf's size and would mask
-words of messages, so no verdict is taken from these templates. The mining is
-relational: token counts by leaf and position are aggregated before the shuffle, and
-no task sees a whole leaf.
+Texts are cut into lines: segments, and whole titles. Templates are mined from all lines: a
+line runs down a prefix tree of fixed depth (number of tokens, first token, second token),
+and in its leaf a token that fewer than KEEP_HOSTS hosts have at its position is a variable,
+``<*>``. That number is the same at every size of table and leaf. A title is to name its
+owner, so own titles have variables; a template without variable that stands alone as the
+title of SUPPORT hosts, none of which has its words in its name, is a message. Each template
+is classified once, by that or by a few seeds that standards word alike everywhere, and the
+verdict goes to all its lines wherever they stand. A line that is a seed by its own words is
+one whatever its template masks. Slots that stand unresolved inside ordinary text are looked
+for in every text, apart from lines. The mining is relational: counts by leaf, position and
+token are aggregated before the shuffle, and no task sees a whole leaf.
 """
 
 from __future__ import annotations
@@ -23,11 +22,13 @@ from ledgerloom.functions.text import BLANK, is_blank
 from ledgerloom.operators.skew import join_by_key
 from ledgerloom.session import Kept
 
-#: A token stays in a template if so large a part of its leaf's lines has it there.
-KEEP_SHARE = 0.2
+#: A token stays in a template if so many hosts have it at its place; a template is a message if it is the whole title of so many hosts.
+KEEP_HOSTS, SUPPORT = 3, 4
+#: A word of so many letters or more that stands in a host's name is its owner's.
+OWN_LETTERS = 5
 
 WORD = r"[\p{L}\p{M}\p{N}$][\p{L}\p{M}\p{N}'’_$.]*"
-SEGMENTS = rf"(?<=[.!?।:])\s+|[\r\n]+|{BLANK}+(?:\||–|—|-|::|»|·){BLANK}+"
+SEGMENTS = rf"(?<=[.!?।:…])\s+|[\r\n]+|{BLANK}+(?:\||–|—|-|::|»|·){BLANK}+"
 
 SCRIPT = r"(?:java ?script|js|scripts?|active scripting|scripting|client side scripts?)"
 REASON = (
@@ -35,71 +36,26 @@ REASON = (
     r"request time ?out|conflict|gone|too many requests|internal server error|not implemented|bad gateway|"
     r"service (?:temporarily )?unavailable|gateway time ?out|unknown error|web server is down|origin is unreachable|connection timed out)"
 )
-#: Templates of messages by kind, matched as a whole.
+#: Seeds: what standards and common tools word alike everywhere. All other messages are mined.
 MESSAGES = {
     "script": (
-        rf"(?:please )?(?:enable|turn on|activate|allow|switch on) (?:your )?{SCRIPT}\b.*",
-        rf"(?:please )?enable cookies?\b.*",
-        rf"{SCRIPT} (?:is|are|has been|must be|seems to be|appears to be) (?:currently )?(?:disabled|blocked|turned off|switched off|off|required|needed|enabled)\b.*",
-        rf".{{0,40}}\b(?:does not|doesn't|do not|cannot) (?:support|run) {SCRIPT}\b.*",
-        rf"you (?:must|need to|have to|should) (?:turn on|enable|allow|activate) {SCRIPT}\b.*",
-        rf".{{0,40}}\bcan(?:not|'t) be (?:shown|displayed|viewed|used|loaded) without {SCRIPT}\b.*",
-        rf"(?:this|the|our) (?:app|site|page|website|application)(?: only)? (?:needs|requires|works (?:best )?with|uses) {SCRIPT}\b.*",
-        rf"noscript\b.*",
-        rf"(?:we are )?checking (?:your|if the site|the) (?:browser|connection)\b.*",
-        rf"just a (?:second|moment)\b.*",
-        rf".{{0,30}}\bverif(?:y|ying) (?:that )?you are (?:a )?human\b.*",
-        rf"attention required|one more step|ddos protection by .*|are you a (?:ro)?bot|i'm not a robot",
-        rf"veuillez activer (?:le )?(?:les )?{SCRIPT}\b.*",
-        rf"bitte (?:aktivieren sie )?{SCRIPT}(?: aktivieren)?\b.*",
-        rf"(?:por favor )?(?:active|activa|habilite|ative|habilita) (?:el |o )?{SCRIPT}\b.*",
-        rf"कृपया (?:अपने ब्राउज़र में )?{SCRIPT} (?:सक्षम|चालू) करें.*",
+        rf".*\b(?:enable|turn on|activate|allow|activer|aktivieren|active|ative|habilite)\b.{{0,30}}\b{SCRIPT}\b.*",
+        rf".*\b{SCRIPT} (?:is|are|has been|must be)?\b.{{0,12}}\b(?:disabled|blocked|turned off|off|required|needed|aktivieren|सक्षम|चालू)\b.*",
+        rf".*\b(?:support|without|needs|requires) {SCRIPT}\b.*",
+        r"noscript\b.*|.*\bverif(?:y|ying) (?:that )?you are (?:a )?human\b.*|checking your browser\b.*",
     ),
     "error": (
-        rf"(?:oops |whoops |http |status |error |code |server )*(?:error|http|status|oops|code) (?:<\*>|[45]\d\d)(?: error)?(?: {REASON})?",
+        rf"(?:oops |whoops |http |status |error |code |server )*(?:error|http|status|oops|code) (?:<0>|[45]\d\d)(?: error)?(?: {REASON})?",
         rf"(?:[45]\d\d )?(?:oops |error |http )*{REASON}(?: [45]\d\d)?(?: error)?",
         r"[45]\d\d(?: error)?",
         rf"(?:http )?status [45]\d\d\b.*",
-        r"access (?:to this (?:page|site|resource) (?:is|was|has been) )?denied|permission denied|you (?:don't|do not) have permission .*",
-        r"connection (?:refused|timed out|reset|closed|failed)\b.*|(?:the )?(?:connection|request) (?:has )?timed out",
-        r"(?:sorry )?(?:we|you) (?:can't|cannot|could not|couldn't) find (?:the|this|that) (?:page|site|file)\b.*",
-        r"(?:this|the|your) (?:page|site|website|web page) (?:could not|couldn't|cannot|can't|can not) be (?:loaded|found|displayed|reached|opened|shown)\b.*",
-        r"(?:this|the) (?:page|site|website) (?:does not|doesn't) exist\b.*|(?:this|the) (?:page|site|website) (?:is|was) (?:not available|unavailable|not found)\b.*",
-        r"(?:your|the|this) (?:request|ip|access) (?:was|has been|is) (?:blocked|denied|rejected)\b.*",
-        r"(?:could not|cannot|can't|unable to|failed to) connect to (?:the )?(?:database|server|mysql)\b.*|error establishing a database connection",
-        r"(?:the |this |our )?(?:web)?site (?:is )?(?:temporarily )?(?:down|offline|unavailable|suspended|disabled)\b(?! to).{0,40}",
-        r"(?:the |this )?(?:web)?(?:site|page) (?:is )?(?:currently )?(?:under|in) (?:construction|maintenance)\b.*|under (?:construction|maintenance)|down for maintenance",
-        r"(?:sorry )?nothing (?:lives|was found|found|to see|here)\b.{0,40}|sorry nothing .{0,40}",
-        r"(?:this |the |your )?account (?:has been |is |was )?suspended\b.{0,30}",
-        r"(?:bandwidth|quota|memory) limit (?:was )?exceeded\b.*|resource limit is reached",
-        r"(?:the|this|your) domain (?:name )?(?:has |is |was )?(?:expired|parked|for sale|suspended)\b.*|domain (?:expired|parked|for sale)",
-        r"(?:your|the) hosting (?:plan|account) (?:is|has|was) .*",
-        r"(?:the )?requested (?:address|url|page|resource) was not found\b.*",
-        r"traceback most recent call last\b.*",
-        r"(?:php )?(?:warning|notice|deprecated|fatal error|parse error) (?:undefined|uncaught|call to|unexpected|syntax|cannot|invalid|include|require)\b.*",
-        r"undefined (?:variable|index|offset|property|array key|function)\b.*",
-        r"uncaught (?:exception|error|typeerror|referenceerror)\b.*|fatal error .*|(?:an )?unexpected error (?:has )?occurred\b.*|something went wrong\b.{0,30}",
-        r"(?:die )?seite (?:wurde )?nicht gefunden|(?:la )?page (?:est )?introuvable|page non trouvée|(?:la )?página no encontrada|(?:a )?página não encontrada|zugriff verweigert|accès refusé|acceso denegado|acesso negado",
-        r"(?:यह )?पृष्ठ नहीं मिला|पेज नहीं मिला|पहुँच अस्वीकृत",
-        r"index of .{0,40}|it works|apache\d* (?:ubuntu|debian|centos)? ?default page\b.*|welcome to nginx",
-    ),
-    "filler": (
-        r"lorem ipsum\b.*",
-        r"(?:sample|example|dummy|placeholder|default|demo|test) (?:headline|heading|text|title|page|page title|description|paragraph|content|post|site|tagline)\b.{0,40}",
-        r"this is (?:a |an |some )?(?:sample|demo|dummy|example|placeholder|test)\b.*",
-        r"(?:type|enter|insert|write|add|put|replace|change|edit|place) (?:a |an |your |the |this |some |here |site |something|main |page )+.*\b(?:here|name|heading|headline|title|yourself|page|space|do|text|tagline|description|keywords|summary|sentence|business)\b.*",
-        r"(?:type|enter|insert|write|add|edit) (?:your )?(?:heading|headline|title|text|site name|tagline|description|content)\b.*",
-        r"(?:your |the )?(?:company|site|business|brand|page|store)(?: name| title)? (?:goes )?here",
-        r"your (?:tagline|slogan|title|headline|heading|text|description|content|logo|company name|business name|site title)(?: goes)?(?: here)?",
-        r"my (?:blank|new|first|default)? ?(?:theme|site|website|blog|store|page)",
-        r"new page(?: <\*>| \d+)?(?: copy)?|untitled(?: document| page| site| <\*>)?|page title|home page title|site title|title here",
-        r"default description of .*|just another .{0,30}\b(?:site|blog)|hello world|coming soon|my wordpress (?:site|blog)",
-        r"(?:example|sample) text change me|change me|click to edit|click here to edit\b.*|edit this text\b.*",
+        r"traceback most recent call last\b.*|uncaught (?:exception|error)\b.*|(?:php )?(?:warning|notice|fatal error) (?:undefined|uncaught|call to)\b.*|undefined (?:variable|index|offset)\b.*",
     ),
+    "filler": (r"lorem ipsum\b.*", r"(?:sample|example|dummy|placeholder|default) (?:headline|heading|text|title|description|paragraph|content)\b.{0,40}"),
 }
 MESSAGE = {kind: "^(?:" + "|".join(f"(?:{x})" for x in patterns) + ")$" for kind, patterns in MESSAGES.items()}
 #: What servers add to their messages.
-TAIL = r" (?:server|nginx|apache|iis|cloudflare|litespeed)(?: [<*>\d.]+)?$"
+TAIL = r" (?:server|nginx|apache|iis|cloudflare|litespeed)(?: [<0>\d.]+)?$"
 
 LOREM = (
     "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor incididunt ut labore et dolore magna aliqua enim ad minim veniam quis nostrud "
@@ -131,9 +87,9 @@ def has_slot(text: Column) -> Column:
 
 
 def tokens_of(segment: Column) -> Column:
-    """Lower-case words; numbers other than HTTP status codes become <*>."""
+    """Lower-case words; numbers other than HTTP status codes become <0>."""
     words = F.regexp_extract_all(F.regexp_replace(F.lower(segment), "’", "'"), F.lit(f"({WORD})"), 1)
-    return F.transform(words, lambda w: F.when(w.rlike(r"\p{N}") & ~w.rlike(r"^[45]\d\d\.?$"), F.lit("<*>")).otherwise(F.regexp_replace(w, r"\.+$", "")))
+    return F.transform(words, lambda w: F.when(w.rlike(r"\p{N}") & ~w.rlike(r"^[45]\d\d\.?$"), F.lit("<0>")).otherwise(F.regexp_replace(w, r"\.+$", "")))
 
 
 def verdict(line: Column) -> Column:
@@ -148,32 +104,47 @@ def verdict(line: Column) -> Column:
     return kind
 
 
-def mine_templates(lines: DataFrame) -> DataFrame:
-    """(line, template) for distinct ``tokens`` arrays with their hash ``line``."""
+def mine_templates(lines: DataFrame, kept: Kept) -> DataFrame:
+    """(line, template, alone) for distinct lines (line, tokens, hosts, alone); ``alone`` is summed over the template's lines."""
     lines = lines.withColumn("leaf", F.xxhash64(F.size("tokens"), F.get("tokens", F.lit(0)), F.get("tokens", F.lit(1))))
+    cells = lines.select("leaf", F.posexplode("tokens").alias("pos", "token"), "hosts").groupBy("leaf", "pos", "token").agg(F.sum("hosts").alias("n"))
+    fixed = cells.where(F.col("n") >= KEEP_HOSTS).groupBy("leaf").agg(F.collect_set(F.concat_ws(" ", "pos", "token")).alias("fixed"))
     sizes = lines.groupBy("leaf").agg(F.count("*").alias("n_rows"))
-    cells = lines.select("leaf", F.posexplode("tokens").alias("pos", "token")).groupBy("leaf", "pos", "token").agg(F.count("*").alias("n"))
-    kept = cells.join(sizes, "leaf").where(F.col("n") >= KEEP_SHARE * F.col("n_rows"))
-    kept = kept.groupBy("leaf").agg(F.collect_set(F.concat_ws(" ", "pos", "token")).alias("kept"), F.first("n_rows").alias("n_rows"))
-    joined = join_by_key(lines, kept, "leaf")
-    template = F.transform("tokens", lambda t, i: F.when(F.array_contains("kept", F.concat_ws(" ", i.cast("string"), t)), t).otherwise(F.lit("<*>")))
-    return joined.select("line", F.array_join(template, " ").alias("template"))
+    joined = join_by_key(lines, sizes.join(fixed, "leaf", "left"), "leaf")
+    template = F.transform("tokens", lambda t, i: F.when(F.array_contains("fixed", F.concat_ws(" ", i.cast("string"), t)), t).otherwise(F.lit("<*>")))
+    named = kept.keep(joined.select("line", F.coalesce(F.array_join(template, " "), F.lit("<*>")).alias("template"), "alone", "own"), "named")
+    whole = named.groupBy("template").agg(F.sum("alone").alias("alone"), F.sum("own").alias("own"), F.count("*").alias("n_rows"))
+    return join_by_key(named.select("line", "template"), whole, "template")
 
 
-def find_residue(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys, kind): rows whose ``text`` holds residue; kind is slot, script, error or filler.
+def find_residue(rows: DataFrame, keys: list[str], text: str, host: str | None = None, title: str | None = None) -> DataFrame:
+    """(keys, kind): rows whose ``text`` holds residue; kind is slot, script, error, filler or message (one that was mined).
 
-    Null, empty and no-value texts hold none. Repeated rows give one row a kind. A
-    row may have several kinds. Other columns of ``rows`` don't matter.
+    ``host`` names the column with the site a row is from (else its keys tell rows apart), ``title`` a boolean column that marks titles (else there are none,
+    and only seeds and slots are found). Null, empty and no-value texts hold none. Repeated rows give one row a kind. A row may have several kinds. Other
+    columns of ``rows`` don't matter.
     """
     kept = Kept(rows.sparkSession)
-    rows = rows.select(*keys, F.col(text).alias("_text")).where(~is_blank(F.col(text))).distinct()
+    owner = F.coalesce(F.lower(F.col(host).cast("string")), F.concat_ws("|", *(F.col(k).cast("string") for k in keys))) if host else F.concat_ws("|", *(F.col(k).cast("string") for k in keys))
+    marked = F.coalesce(F.col(title), F.lit(False)) if title else F.lit(False)
+    rows = rows.select(*keys, F.col(text).alias("_text"), owner.alias("_host"), marked.alias("_title")).where(~is_blank(F.col(text))).distinct()
     slots = rows.where(has_slot(F.col("_text"))).select(*keys, F.lit("slot").alias("kind"))
-    parts = rows.select(*keys, F.explode(F.split("_text", SEGMENTS)).alias("_part"))
-    parts = parts.select(*keys, tokens_of(F.col("_part")).alias("tokens")).where(F.size("tokens") > 0)
-    parts = kept.keep(parts.withColumn("line", F.xxhash64("tokens")), "parts")
-    lines = parts.groupBy("line").agg(F.first("tokens").alias("tokens"), F.count("*").alias("n_rows"))
-    judged = lines.select("line", verdict(F.array_join("tokens", " ")).alias("kind"), "n_rows")
-    flagged = kept.keep(judged.where("kind is not null"), "flagged")
+    segments = F.transform(F.split("_text", SEGMENTS), lambda x: F.struct(tokens_of(x).alias("tokens"), F.lit(False).alias("alone")))
+    whole = F.when(F.col("_title"), F.array(F.struct(tokens_of(F.col("_text")).alias("tokens"), F.lit(True).alias("alone")))).otherwise(F.array().cast("array<struct<tokens:array<string>,alone:boolean>>"))
+    parts = rows.select(*keys, "_host", F.explode(F.concat(segments, whole)).alias("_part"))
+    parts = parts.select(*keys, "_host", "_part.tokens", "_part.alone").where(F.size("tokens") > 0)
+    letters = F.regexp_replace("_host", "[^a-z]", "")
+    own = F.col("alone") & F.exists("tokens", lambda w: (F.length(w) >= OWN_LETTERS) & F.contains(letters, w))
+    parts = kept.keep(parts.withColumn("line", F.xxhash64("tokens")).withColumn("own", own), "parts")
+    by_host = parts.groupBy("line", "_host").agg(F.first("tokens").alias("tokens"), F.max("alone").cast("long").alias("alone"), F.max("own").cast("long").alias("own"))
+    lines = kept.keep(by_host.groupBy("line").agg(F.first("tokens").alias("tokens"), F.count("*").alias("hosts"), F.sum("alone").alias("alone"), F.sum("own").alias("own")), "lines")
+    templates = kept.keep(mine_templates(lines, kept), "templates")
+    distinct = templates.select("template", "alone", "own").distinct()
+    mined = (F.col("alone") >= SUPPORT) & (F.col("own") == 0) & ~F.contains("template", F.lit("<*>"))
+    classified = kept.keep(distinct.select("template", F.coalesce(verdict(F.col("template")), F.when(mined, "message")).alias("kind")).where("kind is not null"), "classified")
+    by_template = join_by_key(templates, classified.join(templates.groupBy("template").agg(F.count("*").alias("n_rows")), "template"), "template").select("line", "kind")
+    by_words = lines.select("line", verdict(F.array_join("tokens", " ")).alias("kind")).where("kind is not null")
+    judged = by_template.unionByName(by_words).groupBy("line").agg(F.min("kind").alias("kind"))
+    flagged = kept.keep(judged.join(parts.groupBy("line").agg(F.count("*").alias("n_rows")), "line"), "flagged")
     messages = join_by_key(parts.select(*keys, "line"), flagged, "line").select(*keys, "kind")
     return messages.unionByName(slots).distinct()

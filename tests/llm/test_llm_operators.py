@@ -59,8 +59,8 @@ def test_hot_key_makes_stars_not_pairs(spark):
 @pytest.mark.parametrize(
     "text, kind",
     [
-        ("Welcome to {{company.name}}", "slot"), ("Acme Foods | [Add Tagline]", "slot"), ("&lt;your business name&gt; – Acme", "slot"), ("Warning: undefined variable $title", "error"), ("404 Not Found", "error"), ("Page introuvable | Acme", "error"),
-        ("Please enable JavaScript to continue", "script"), ("Just a second... verifying you are human", "script"), ("Dolor sit amet consectetur.", "filler"), ("Sample headline", "filler"), ("asdf asdf test", "filler"),
+        ("Welcome to {{company.name}}", "slot"), ("Acme Foods | [Add Tagline]", "slot"), ("&lt;your business name&gt; – Acme", "slot"), ("Warning: undefined variable $title", "error"), ("404 Not Found | Acme", "error"), ("HTTP status 504 (gateway time-out)", "error"),
+        ("Please enable JavaScript to continue", "script"), ("Just a second... verifying you are human", "script"), ("Dolor sit amet consectetur.", "filler"), ("Sample headline… as you like", "filler"), ("asdf asdf test", "filler"),
         ("Room 404 - Acme Cafe", None), ("Batch [A-89] left; Anna keeps {name, date, weight} for each crate.", None), ("We train JavaScript developers.", None), ("Acme helps web teams fix server errors.", None), ("Acme Ltd [Since 1997]", None), ("50% of A and 30% of B", None),
     ],
 )
@@ -71,11 +71,13 @@ def test_residue_kinds(spark, text, kind):
 
 
 def test_residue_odd_cases(spark):
-    schema = "k long, t string, kind string, line long, leaf string"
-    data = [(1, None, "a", 1, "x"), (2, "", None, None, None), (3, LONG, None, None, None), (4, "Access denied", None, None, None), (4, "Access denied", None, None, None), (None, "Access denied", None, None, None), (5, "n/a", None, None, None)]
-    got = residue.find_residue(spark.createDataFrame(data, schema), ["k"], "t")
-    assert {r for r in map(tuple, got.collect()) if r[0] != 3} == {(4, "error"), (None, "error")}
-    assert residue.find_residue(spark.createDataFrame([], schema), ["k"], "t").count() == 0
+    schema = "k long, t string, kind string, line long, leaf string, site string, first boolean"
+    data = [(1, None, "a", 1, "x"), (2, "", None, None, None), (3, LONG, None, None, None), (4, "403 Forbidden", None, None, None), (4, "403 Forbidden", None, None, None), (None, "403 Forbidden", None, None, None), (5, "n/a", None, None, None)]
+    df = spark.createDataFrame([(*d, None, None) for d in data], schema)
+    for more in ((), ("site", "first")):
+        got = residue.find_residue(df, ["k"], "t", *more)
+        assert {r for r in map(tuple, got.collect()) if r[0] != 3} == {(4, "error"), (None, "error")}
+        assert residue.find_residue(df.limit(0), ["k"], "t", *more).count() == 0
 
 
 def test_residue_does_not_depend_on_the_other_lines(spark):
@@ -86,10 +88,26 @@ def test_residue_does_not_depend_on_the_other_lines(spark):
     assert rows(got) == [(i, "error") for i in range(len(messages))]
 
 
-def test_templates_merge_rare_words(spark):
+def test_messages_are_mined_from_titles_and_propagated(spark):
+    """What stands alone as the title of many hosts is a message, in any language; own names and what repeats beside them are none."""
+    data = [(i, "Ziel nicht erreichbar!", f"host{i}.example", True) for i in range(residue.SUPPORT)]
+    data += [(50, "Ziel nicht erreichbar | Acme", "acme.example", True), (51, "Ziel nicht erreichbar. Versuchen Sie es später.", None, False), (52, "Das Ziel ist nicht immer erreichbar.", None, False)]
+    data += [(60 + i, f"Acme{'xyzuvw'[i]} tool for cooperatives", f"h{i}.example", True) for i in range(6)] + [(70 + i, f"Solar planner | Firm{'abcdef'[i]}co", f"firm{'abcdef'[i]}co.test", True) for i in range(6)]
+    data += [(80 + i, "Kalonim Foods", f"kalonim-{i}.example", True) for i in range(6)] + [(90 + i, "Seldom seen", f"s{i}.example", True) for i in range(residue.SUPPORT - 1)]
+    data += [(100 + i, f"New page {i}", f"n{i}.example", True) for i in range(residue.SUPPORT)]
+    got = rows(residue.find_residue(spark.createDataFrame(data, "k long, t string, site string, first boolean"), ["k"], "t", "site", "first"))
+    assert {k for k, _ in got} == {*range(residue.SUPPORT), 50, 51, *range(100, 100 + residue.SUPPORT)}
+
+
+def test_templates_mask_what_few_hosts_have(spark):
+    from ledgerloom.session import Kept
+
     lines = [f"order for {x} is late".split() for x in ("anna", "bob", "cora", "dan", "eve", "fay", "gus")]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "line long, tokens array<string>")
-    assert {r.template for r in residue.mine_templates(df).collect()} == {"order for <*> is late"}
+    for n in (3, 7):  # the same whatever the leaf's size
+        df = spark.createDataFrame([(i, t, 1, 1, 0) for i, t in enumerate(lines[:n])] + [(50, "order for zoe is late".split(), 3, 3, 0)], "line long, tokens array<string>, hosts long, alone long, own long")
+        got = residue.mine_templates(df, Kept(spark)).collect()
+        assert {r.template for r in got if r.line < 50} == {"order for <*> is late"} and {r.template for r in got if r.line == 50} == {"order for zoe is late"}
+        assert {r.alone for r in got if r.line < 50} == {n}
 
 
 # canonical ------------------------------------------------------------------
