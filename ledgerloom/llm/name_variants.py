@@ -21,18 +21,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.dictionaries import GENERIC_NAME_KEYS, NULL_TOKENS
-from ledgerloom.llm.strings import LONG, alike_long, monge_elkan, osa
+from ledgerloom.llm.strings import monge_elkan, osa
 from ledgerloom.session import Kept
 
 Q = 3
 ROWS = 4
-#: Wanted recall of candidates whose brand words have this Jaccard similarity.
-AT_JACCARD, RECALL = 0.5, 0.985
+#: Wanted recall of candidates whose brand words have this Jaccard similarity, and the bands a candidate must meet in.
+AT_JACCARD, RECALL, MEETINGS = 0.5, 0.985, 2
 SIMILAR = 0.78
-#: Of strings that similar, so large a part of the pairs of letters is shared.
-PAIR_SHARE = 0.5
-#: With so many shared, words may be in any order.
-TURNED_SHARE = 0.7
 #: A word in so large a part of all names is a kind word.
 KIND_SHARE, KIND_LEAST = 0.003, 12
 MAX_ROUNDS = 50
@@ -63,9 +59,15 @@ SOUNDS = (("oo", "u"), ("ee", "i"), ("ou", "u"), ("au", "o"), ("ph", "f"), ("sh"
 DIGITS = str.maketrans("01358", "olesb")
 
 
-def bands(rows: int = ROWS, jaccard: float = AT_JACCARD, recall: float = RECALL) -> int:
-    """The number of bands at which the collision curve 1 - (1 - j ** rows) ** bands reaches the recall."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - jaccard**rows))
+def bands(rows: int = ROWS, jaccard: float = AT_JACCARD, recall: float = RECALL, meetings: int = MEETINGS) -> int:
+    """The fewest bands at which the collision curve, the chance of ``meetings`` or more equal bands of which each is equal with jaccard ** rows, reaches the recall.
+
+    Chance pairs meet once in most cases; to ask for two meetings and take more bands keeps the recall and leaves most of them out.
+    """
+    p, n = jaccard**rows, meetings
+    while 1 - sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(meetings)) < recall:
+        n += 1
+    return n
 
 
 def sounds(word: str) -> str:
@@ -185,16 +187,14 @@ def kinds_agree(a: tuple[list[str], str], b: tuple[list[str], str]) -> bool:
 
 
 def brands_agree(a: list[str], b: list[str]) -> float:
+    """Monge-Elkan similarity of the words, or that of the joined words in one of their turns, for words may be cut differently."""
     whole, other = "".join(a), "".join(b)
-    if max(len(whole), len(other)) > LONG:
-        return alike_long(whole, other)
     longest = max(len(whole), len(other))
     most = int((1 - SIMILAR) * longest)
     for text in dict.fromkeys((other, "".join(b[1:] + b[:1]), "".join(b[-1:] + b[:-1]))):
         if (d := osa(whole, text, most)) <= most:
             return 1 - d / longest
-    # two words have two orders, and both were measured
-    return monge_elkan(a, b) if max(len(a), len(b)) > 2 else 0.0
+    return monge_elkan(a, b)
 
 
 def _signatures(strings: list[str], n_bands: int) -> np.ndarray:
@@ -232,12 +232,6 @@ def _signatures(strings: list[str], n_bands: int) -> np.ndarray:
     return ((least * powers).sum(axis=2) ^ salts).view(np.int64)
 
 
-def pair_letters(x: Column) -> Column:
-    """The different pairs of neighbouring letters of a string read as a ring; none of a long string, which is compared as a whole."""
-    x = F.when(F.length(x) <= LONG, x).otherwise("")
-    return F.array_distinct(F.transform(F.when(F.length(x) > 0, F.sequence(F.lit(1), F.length(x))).otherwise(F.array().cast("array<int>")), lambda i: F.substring(F.concat(x, F.substring(x, 1, 1)), i, F.lit(2))))
-
-
 def mined_kinds(names: DataFrame) -> list[str]:
     """Words that at least KIND_SHARE of all distinct names share: at most (words a name) / KIND_SHARE words, whatever the data."""
     words = names.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("name"), F.lit(r"(\p{L}{3,})"), 1))).alias("w"))
@@ -301,19 +295,14 @@ def find_variants(rows: DataFrame, key: str, name: str, places: list[str] = ())
     banded = kept.keep(brands.mapInPandas(sign, "band long, b long"), "banded")
     shared = banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
     banded = banded.join(shared, "band", "left_semi")
-    met = banded.alias("x").join(banded.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.b") < F.col("y.b"))).select(F.col("x.b").alias("b1"), F.col("y.b").alias("b2")).distinct()
-    words = F.split("brand", " ")
-    turned = [F.array_join(F.concat(F.slice(words, 2, F.size(words)), F.slice(words, 1, 1)), ""), F.array_join(F.concat(F.slice(words, F.size(words), 1), F.slice(words, 1, F.size(words) - 1)), "")]
-    whole = F.array_join(words, "")
-    lettered = kept.keep(brands.select("b", "brand", whole.alias("whole"), F.array_distinct(F.array(whole, *turned)).alias("turns"), pair_letters(whole).alias("letters")), "lettered")
-    text = [lettered.select(F.col("b").alias(f"b{i}"), F.col("brand").alias(f"brand{i}"), F.col("letters").alias(f"letters{i}"), F.col("whole" if i == 1 else "turns").alias(f"text{i}")) for i in (1, 2)]
+    met = banded.alias("x").join(banded.alias("y"), (F.col("x.band") == F.col("y.band")) & (F.col("x.b") < F.col("y.b"))).groupBy(F.col("x.b").alias("b1"), F.col("y.b").alias("b2")).agg(F.count("*").alias("n"))
+    met = met.where(F.col("n") >= MEETINGS).select("b1", "b2")
+    lettered = kept.keep(brands.select("b", "brand", F.replace("brand", F.lit(" "), F.lit("")).alias("whole")), "lettered")
+    text = [lettered.select(F.col("b").alias(f"b{i}"), F.col("brand").alias(f"brand{i}"), F.col("whole").alias(f"whole{i}")) for i in (1, 2)]
     met = met.join(text[0], "b1").join(text[1], "b2")
-    # an edit changes two pairs of letters, and a transposition is two edits here; what can't be similar by that isn't measured further
-    shared = F.size(F.array_intersect("letters1", "letters2")) / F.greatest(F.size("letters1"), F.size("letters2"))
-    most = F.ceil(2 * (1 - SIMILAR) * F.greatest(F.length("text1"), F.length(F.get("text2", F.lit(0))))).cast("int")
-    near = F.exists("text2", lambda t: F.levenshtein("text1", t) <= most)
-    long = (F.size("letters1") == 0) | (F.size("letters2") == 0)
-    met = met.where(long | (shared >= TURNED_SHARE) | (shared >= PAIR_SHARE) & near)
+    # whatever the order and cut of the words, the measure is at most the part of either side's letters that the other side has too, so this loses no pair
+    strange = lambda x, y: F.length(F.call_function("translate", F.col(x), F.col(y), F.lit(""))) <= (1 - SIMILAR) * F.greatest(F.length("whole1"), F.length("whole2")) + 1e-9
+    met = met.where(strange("whole1", "whole2") & strange("whole2", "whole1"))
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

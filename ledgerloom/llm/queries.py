@@ -63,18 +63,24 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return map_places(*(table(spark, folder, t) for t in ("companies", "ref_cities", "ref_states")))
 
 
-def _towns(spark: SparkSession, folder: str) -> list[str]:
-    """Names of the towns of the fixed reference list."""
-    return [x for r in table(spark, folder, "ref_cities").limit(10_000).toLocalIterator() for x in (r.city, *(r.alt_names or ())) if x]
+#: Reference towns are sent to every worker; a longer list is an error, never cut.
+MOST_TOWNS = 50_000
+
+
+def _towns(spark: SparkSession, folder: str) -> list[tuple[str, list[str]]]:
+    """Names and other names of the towns of the fixed reference list."""
+    towns = table(spark, folder, "ref_cities").where("city is not null")
+    if (n := towns.count()) > MOST_TOWNS:
+        raise ValueError(f"{n} towns; a list of towns has at most {MOST_TOWNS}")
+    return [(r.city, list(r.alt_names or ())) for r in towns.toLocalIterator()]
 
 
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
-    return find_variants(table(spark, folder, "companies"), "id", "name", _towns(spark, folder))
+    return find_variants(table(spark, folder, "companies"), "id", "name", [x for city, others in _towns(spark, folder) for x in (city, *others)])
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    towns = [(r.city, list(r.alt_names or ())) for r in table(spark, folder, "ref_cities").where("city is not null").limit(10_000).toLocalIterator()]
-    found = find_same_place(table(spark, folder, "company_enrichment"), "company_id", "address", towns)
+    found = find_same_place(table(spark, folder, "company_enrichment"), "company_id", "address", _towns(spark, folder))
     return found.toDF("company_id_a", "company_id_b")
 
 

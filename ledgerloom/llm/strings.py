@@ -2,58 +2,50 @@
 
 from __future__ import annotations
 
-from collections import Counter
-
 
 def osa(a: str, b: str, most: int | None = None) -> int:
-    """Edits and transpositions of neighbours between two strings; above ``most``, any number above it."""
+    """Edits and transpositions of neighbours between two strings; above ``most``, any number above it.
+
+    Bit-parallel after Hyyro (2003): a column of the distance table is a pair of whole numbers of as many bits as ``a`` has letters.
+    """
     if a == b:
         return 0
     n, m = len(a), len(b)
-    most = max(n, m) if most is None else most
-    if abs(n - m) > most:
+    if most is not None and abs(n - m) > most:
         return most + 1
-    before: list[int] = []
-    row = list(range(m + 1))
-    for i in range(1, n + 1):
-        c, now = a[i - 1], [i] + [0] * m
-        least = i
-        for j in range(1, m + 1):
-            if c == b[j - 1]:
-                d = row[j - 1]
-            else:
-                d = row[j - 1]
-                if row[j] < d:
-                    d = row[j]
-                if now[j - 1] < d:
-                    d = now[j - 1]
-                d += 1
-                if i > 1 and j > 1 and c == b[j - 2] and a[i - 2] == b[j - 1] and before[j - 2] + 1 < d:
-                    d = before[j - 2] + 1
-            now[j] = d
-            if d < least:
-                least = d
-        if least > most:
+    if not n or not m:
+        return n or m
+    at: dict[str, int] = {}
+    bit = 1
+    for c in a:
+        at[c] = at.get(c, 0) | bit
+        bit <<= 1
+    mask, last = bit - 1, bit >> 1
+    up, down, diagonal, before, score = mask, 0, 0, 0, n
+    left = m
+    for c in b:
+        here = at.get(c, 0)
+        diagonal = ((((here & up) + up) ^ up) | here | down | (((~diagonal & here) << 1) & before)) & mask
+        plus = down | (~(diagonal | up) & mask)
+        minus = diagonal & up
+        left -= 1
+        if plus & last:
+            score += 1
+        elif minus & last:
+            score -= 1
+        if most is not None and score - left > most:
             return most + 1
-        before, row = row, now
-    return row[m]
-
-
-#: Longer strings are compared by their pairs of letters, which takes time in proportion to their length.
-LONG = 400
-
-
-def alike_long(a: str, b: str) -> float:
-    """The part of pairs of letters that two strings share, counted with repetition."""
-    x, y = (Counter(s[i : i + 2] for i in range(len(s) - 1)) for s in (a, b))
-    return 2 * sum((x & y).values()) / max(1, sum(x.values()) + sum(y.values()))
+        plus, minus = (plus << 1) | 1, minus << 1
+        up, down, before = (minus | ~(diagonal | plus)) & mask, plus & diagonal & mask, here
+    return score
 
 
-def closeness(a: str, b: str) -> float:
+def closeness(a: str, b: str, least: float = 0.0) -> float:
+    """1 minus the distance as a part of the longer string's length; below ``least``, any number below it."""
     n = max(len(a), len(b))
-    if n > LONG:
-        return 1.0 if a == b else alike_long(a, b)
-    return 1 - osa(a, b) / n if n else 1.0
+    if not n:
+        return 1.0
+    return 1 - osa(a, b, int((1 - least) * n + 1e-9)) / n
 
 
 def monge_elkan(a: list[str], b: list[str]) -> float:
