@@ -63,28 +63,41 @@ class Trie:
         if len(pattern) > self.longest + k:
             return {}
         found: dict[object, int] = {}
-        n = len(pattern)
-        stack = [(self.root, list(range(n + 1)), None, "")]
+        n, far = len(pattern), k + 1
+        # a state: the distances of the pattern's beginnings whose length is within k of the path's; all others are above k
+        stack = [(self.root, 0, [min(i, far) for i in range(n + 1)], None, "")]
         while stack:
-            node, row, before, last = stack.pop()
+            node, depth, row, before, last = stack.pop()
+            depth += 1
+            low, high = max(1, depth - k), min(n, depth + k)
             for c, child in node.items():
                 if c == "":
                     if row[n] <= k:
                         for entry in child:
-                            found[entry] = min(found.get(entry, k + 1), row[n])
+                            found[entry] = min(found.get(entry, far), row[n])
                     continue
-                now = [row[0] + 1]
+                now = [far] * (n + 1)
+                if depth <= k:
+                    now[0] = depth
                 least = now[0]
-                for i in range(1, n + 1):
+                for i in range(low, high + 1):
                     p = pattern[i - 1]
-                    d = row[i - 1] if p == c else 1 + min(row[i - 1], row[i], now[i - 1])
+                    if p == c:
+                        d = row[i - 1]
+                    else:
+                        d = row[i - 1]
+                        if row[i] < d:
+                            d = row[i]
+                        if now[i - 1] < d:
+                            d = now[i - 1]
+                        d += 1
                     if before is not None and i > 1 and p == last and pattern[i - 2] == c and before[i - 2] + 1 < d:
                         d = before[i - 2] + 1
-                    now.append(d)
                     if d < least:
                         least = d
+                    now[i] = d if d < far else far
                 if least <= k:
-                    stack.append((child, now, row, c))
+                    stack.append((child, depth, now, row, c))
         return found
 
 

@@ -26,8 +26,8 @@ K, W = 4, 4
 PIECE, GAP = 14, 3
 #: The share of the item's words from which a document leaks it.
 SHARE = 1 / 3
-#: More test fingerprints than this are shuffled instead of broadcast.
-BROADCAST_PRINTS = 500_000
+#: More test fingerprints, or hits (pairs of a document and an item), than this are shuffled instead of broadcast.
+BROADCAST_PRINTS, BROADCAST_HITS = 500_000, 1_000_000
 
 HIDDEN = re.compile("[­​-‏ -‮⁠-⁤﻿]")
 MARKUP = re.compile(r"<[a-zA-Z/!][^<>]*>")
@@ -74,14 +74,17 @@ def pieces(doc: list[str], item: list[str]) -> list[tuple[int, int, int, int]]:
                 on.append([i, i + 3])
     flat = sorted((d + i, i, j, d) for d, rs in runs.items() for i, j in rs)
     found: list[list[int]] = []  # first, end, diagonal at the end, equal words, first in the document
+    open_: list[list[int]] = []  # pieces that a later run can still join: runs come in the order of the document
     for at, i, j, d in flat:
-        for p in reversed(found[-12:]):
+        open_ = [p for p in open_ if at - p[1] - p[2] <= GAP + 3]
+        for p in reversed(open_):
             if 0 <= i - p[1] <= GAP + 1 and abs(d - p[2]) <= 2 or p[0] < i < p[1] < j and 0 < abs(d - p[2]) <= 2:
                 p[3] += j - max(i, p[1])
                 p[1], p[2] = j, d
                 break
         else:
             found.append([i, j, d, j - i, at])
+            open_.append(found[-1])
     return [(i, j, at, n) for i, j, _, n, at in found if n >= PIECE and n >= 0.5 * (j - i)]
 
 
@@ -97,7 +100,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
     """(doc_id, item_id, share) of each document that holds at least SHARE of an item in large pieces.
 
     Null and empty texts and null ids take no part; an item of fewer than PIECE words can't leak; repeated documents are found under each id,
-    repeated rows once. The test fingerprints are broadcast only if they are few.
+    repeated rows once. Test fingerprints and hits are broadcast only if they are few.
     """
     kept = Kept(documents.sparkSession)
     docs = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where("doc is not null and text <> ''")
@@ -118,8 +121,9 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
     doc_prints = docs.mapInPandas(print_of("doc"), "doc long, print long")
     met = doc_prints.join(F.broadcast(test_prints) if small else test_prints, "print").select("doc", "item").distinct()
     met = kept.keep(met, "met")
-    tests = F.broadcast(tests) if small else tests
-    pairs = docs.join(met, "doc").join(tests, "item")
+    # few documents hit anything: with their hits sent to where the documents are, no text is shuffled
+    few = met.count() <= BROADCAST_HITS
+    pairs = docs.join(F.broadcast(met) if few else met, "doc").join(F.broadcast(tests) if small else tests, "item")
 
     def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         of_item: dict[int, list[str]] = {}

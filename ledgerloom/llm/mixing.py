@@ -12,6 +12,7 @@ from __future__ import annotations
 import base64
 import heapq
 import importlib.util
+import math
 from collections.abc import Iterator
 
 import pandas as pd
@@ -48,14 +49,31 @@ def count_tokens(documents: DataFrame, key: str, text: str, folder: str = TOKENI
 
 
 def apportion(votes: list[float], seats: int, caps: list[int]) -> list[int]:
-    """Seats by highest quotients, none above its cap; seats that no cap allows stay free. Ties go to the earlier."""
+    """Seats by highest quotients votes / (2 * seats so far + 1), none above its cap; seats that no cap allows stay free. Ties go to the earlier.
+
+    The quotients of the seats given lie above one number, which halving finds, so any number of seats takes a few steps: all but the last few
+    are given at once, and those one by one.
+    """
+    live = [i for i, v in enumerate(votes) if v > 0 and caps[i] > 0]
     got = [0] * len(votes)
-    heap = [(-v, i) for i, v in enumerate(votes) if v > 0 and caps[i] > 0]
+    if not live or seats <= 0:
+        return got
+    seats = min(seats, sum(caps[i] for i in live))
+    low, high = 0.0, max(votes[i] for i in live) * 2
+    for _ in range(200):
+        mid = (low + high) / 2
+        # seats whose quotient is above mid
+        if sum(min(caps[i], max(0, math.floor((votes[i] / mid + 1) / 2))) for i in live) > seats if mid else True:
+            low = mid
+        else:
+            high = mid
+    for i in live:
+        got[i] = min(caps[i], max(0, math.floor((votes[i] / high + 1) / 2) - 1))
+    heap = [(-votes[i] / (2 * got[i] + 1), i) for i in live if got[i] < caps[i]]
     heapq.heapify(heap)
-    while seats > 0 and heap:
+    for _ in range(seats - sum(got)):
         _, i = heapq.heappop(heap)
         got[i] += 1
-        seats -= 1
         if got[i] < caps[i]:
             heapq.heappush(heap, (-votes[i] / (2 * got[i] + 1), i))
     return got
@@ -65,7 +83,8 @@ def plan_mix(sizes: DataFrame, targets: DataFrame, blocks: int = BLOCKS) -> Data
     """A row for each plan and source: tokens at hand, target and most tokens, blocks, and the share reached.
 
     ``sizes``: (source, n_tokens). A source without documents has 0 tokens. A null weight counts as 0 and null repeats as 1; repeated
-    targets of one plan and source count once, by the highest weight. ``short`` tells that all repeats stay below the target.
+    targets of one plan and source count once, by the highest weight. ``short`` tells that the cap on repeats costs a source quota: at blocks of one
+    token, the finest there are, it gets fewer than it would get without caps.
     """
     wanted = targets.where("plan_id is not null and source is not null").groupBy("plan_id", "source").agg(F.coalesce(F.max("target_weight"), F.lit(0.0)).alias("weight"), F.coalesce(F.max("max_repeats"), F.lit(1)).alias("repeats"))
     rows = wanted.join(sizes, "source", "left").select("plan_id", "source", "weight", F.col("repeats").cast("long").alias("repeats"), F.coalesce("n_tokens", F.lit(0)).cast("long").alias("n_tokens"))
@@ -79,7 +98,8 @@ def plan_mix(sizes: DataFrame, targets: DataFrame, blocks: int = BLOCKS) -> Data
         caps = [int(m // size) if size else 0 for m in most]
         got = apportion(list(p.weight), blocks, caps)
         whole = sum(got)
-        return p.assign(total=total, target_tokens=p.weight * total, most_tokens=most, short=[m < w * total for m, w in zip(most, p.weight)], blocks=got, block_tokens=size, share=[g / whole if whole else 0.0 for g in got])
+        free, capped = (apportion(list(p.weight), total, c) for c in ([total] * len(most), [min(m, total) for m in most]))
+        return p.assign(total=total, target_tokens=p.weight * total, most_tokens=most, short=[c < f for c, f in zip(capped, free)], blocks=got, block_tokens=size, share=[g / whole if whole else 0.0 for g in got])
 
     return rows.groupBy("plan_id").applyInPandas(one, schema)
 

@@ -44,12 +44,11 @@ def usable_phone(x: Column) -> Column:
 
 
 def tokens(value: str, field: str) -> list[str]:
-    """Digits of a phone; labels of a host from the right, then the path's parts."""
+    """Digits of a phone; labels of a host from the right, then the path."""
     if field == "phone":
         return list(value[-10:])
     host, _, path = value.removeprefix("https://").partition("/")
-    parts = [f"/{p}" for p in path.split("/") if p]
-    return [*reversed(host.split(".")), *(parts if len(parts) <= 60 else ["".join(parts)])]
+    return [*reversed(host.split(".")), *([f"/{path}"] if path else [])]
 
 
 Profile = list[dict[str, float]]
@@ -146,8 +145,9 @@ def choose_survivors(companies: DataFrame) -> DataFrame:
     """(cin, field, id, value): for each group of two or more rows with one valid cin, the row whose website and whose phone survive.
 
     Only usable values compete. A row behind no competing row in filled fields, updated_at and duplicate_count outvotes all
-    others together; without such a row each row has one vote. Ties go to the more complete, the more often confirmed, the
-    later and then the lower id. A group without usable value gives no row; null ids and invalid cins take no part; repeated
+    others together; without such a row each row has one vote. The value nearest to the consensus survives; of values equally
+    near the one of the lowest id does, and of rows with that value the more complete, the more often confirmed, the later and
+    then the lower id. A group without usable value gives no row; null ids and invalid cins take no part; repeated
     rows vote again but change no winner.
     """
     kept = Kept(companies.sparkSession)
@@ -162,8 +162,8 @@ def choose_survivors(companies: DataFrame) -> DataFrame:
     voted = join_by_key(long, tops, "k")
     first = (F.col("filled") == F.col("top_filled")) & (F.col("updated") == F.col("top_updated")) & (F.col("copies") == F.col("top_copies"))
     best = F.max(F.struct(first.alias("first"), "filled", "copies", "updated", (-F.col("id")).alias("id")))
-    values = voted.groupBy("g", "cin", "field", "value").agg(best.alias("best"), F.count("*").alias("n"), F.max("votes").alias("votes"))
-    values = values.select("g", "cin", "field", "value", "best", (F.col("n") + F.when(F.col("best.first"), F.col("votes")).otherwise(0)).cast("double").alias("weight"))
+    values = voted.groupBy("g", "cin", "field", "value").agg(best.alias("best"), F.min("id").alias("least"), F.count("*").alias("n"), F.max("votes").alias("votes"))
+    values = values.select("g", "cin", "field", "value", "best", "least", (F.col("n") + F.when(F.col("best.first"), F.col("votes")).otherwise(0)).cast("double").alias("weight"))
     values = kept.keep(values, "values")
     profiles = _profiles(values, kept)
     counts = values.groupBy("g", "field").agg(F.count("*").alias("n_rows")).withColumn("k", F.xxhash64("g", "field"))
@@ -177,9 +177,9 @@ def choose_survivors(companies: DataFrame) -> DataFrame:
                 if p not in memo:
                     memo[p] = consensus(json.loads(p))
                 d.append(distance(tokens(v, f), memo[p]))
-            yield pd.DataFrame({"cin": b.cin, "field": b.field, "value": b.value, "d": d, "first": b["first"], "filled": b.filled, "copies": b.copies, "updated": b.updated, "minus": b.minus})
+            yield pd.DataFrame({"cin": b.cin, "field": b.field, "value": b.value, "d": d, "least": b.least, "minus": b.minus})
 
-    flat = joined.select("cin", "field", "value", "profile", F.col("best.first").alias("first"), F.col("best.filled").alias("filled"), F.col("best.copies").alias("copies"), F.unix_micros("best.updated").alias("updated"), F.col("best.id").alias("minus"))
-    scored = flat.mapInPandas(far, "cin string, field string, value string, d double, first boolean, filled int, copies int, updated long, minus long")
-    won = scored.groupBy("cin", "field").agg(F.max(F.struct((-F.col("d")).alias("d"), "first", "filled", "copies", "updated", "minus", "value")).alias("w"))
+    flat = joined.select("cin", "field", "value", "profile", "least", F.col("best.id").alias("minus"))
+    scored = flat.mapInPandas(far, "cin string, field string, value string, d double, least long, minus long")
+    won = scored.groupBy("cin", "field").agg(F.min(F.struct("d", "least", "minus", "value")).alias("w"))
     return won.select("cin", "field", (-F.col("w.minus")).alias("id"), F.col("w.value").alias("value"))

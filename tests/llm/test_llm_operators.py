@@ -149,8 +149,37 @@ def test_map_places(spark):
 
 
 def test_bands_follow_the_collision_curve():
-    n = name_variants.bands(4, 0.5, 0.985)
-    assert 1 - (1 - 0.5**4) ** n >= 0.985 > 1 - (1 - 0.5**4) ** (n - 1)
+    meets = lambda n: 1 - (1 - 0.5**4) ** n - n * 0.5**4 * (1 - 0.5**4) ** (n - 1)
+    n = name_variants.bands(4, 0.5, 0.985, 2)
+    assert meets(n) >= 0.985 > meets(n - 1)
+    assert name_variants.bands(4, 0.5, 0.985, 1) == math.ceil(math.log(0.015) / math.log(1 - 0.5**4))
+
+
+def test_letters_bound_the_measure():
+    """The bound before the measure loses no pair: similar brands share the letters it asks for."""
+    rng = random.Random(6)
+    for _ in range(3000):
+        a, b = (["".join(rng.choice("abcdef") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 3))] for _ in range(2))
+        if rng.random() < 0.5:
+            b = ["".join(rng.sample(w, len(w))) for w in a]
+        if name_variants.brands_agree(a, b) >= name_variants.SIMILAR:
+            x, y = "".join(a), "".join(b)
+            room = (1 - name_variants.SIMILAR) * max(len(x), len(y)) + 1e-9
+            assert sum(c not in y for c in x) <= room and sum(c not in x for c in y) <= room
+
+
+def test_osa_equals_the_table():
+    rng = random.Random(9)
+    for _ in range(500):
+        a, b = ("".join(rng.choice("abc") for _ in range(rng.randint(0, 9))) for _ in range(2))
+        t = {(i, j): max(i, j) for i in range(len(a) + 1) for j in range(len(b) + 1) if not i * j}
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                t[i, j] = min(t[i - 1, j] + 1, t[i, j - 1] + 1, t[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    t[i, j] = min(t[i, j], t[i - 2, j - 2] + 1)
+        d = t[len(a), len(b)]
+        assert strings.osa(a, b) == d and all((strings.osa(a, b, k) <= k) == (d <= k) for k in range(5))
 
 
 def test_name_variants(spark):
@@ -326,6 +355,14 @@ def test_consensus_is_the_voted_value():
     assert survivors.consensus(profile) == ["in", "acme"]
 
 
+def test_consensus_decides_where_no_row_leads(spark):
+    """No row is ahead in all three; the numbers of most rows make the consensus, whoever is more complete, and the existing number nearest to it survives."""
+    c = "U12345MH2020PTC123456"
+    phones = ["9812345670", "9812345671", "9812345679", "9999012345"]
+    df = company(spark, *(dict(id=i + 1, cin=c, phone=p, duplicate_count=i, city="Pune" if i == 3 else None) for i, p in enumerate(phones)), dict(id=9, cin=c, phone=phones[1], name="a", state="b", stage="c", sector="d"))
+    assert [(r.id, r.value) for r in survivors.choose_survivors(df).collect()] == [(9, "+919812345671")]
+
+
 def test_large_groups_are_aligned_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(survivors, "CHUNK", 4)
     c = "U12345MH2020PTC123456"
@@ -356,6 +393,13 @@ def test_leaks(spark):
     assert leaks.find_leaks(df.limit(0), items).count() == 0 and leaks.find_leaks(df, items.limit(0)).count() == 0
 
 
+def test_many_runs_in_between_close_no_piece():
+    """A document that repeats a phrase of the item again and again inside a leaked passage leaks all the same."""
+    item = [f"a{i}" for i in range(12)] + [x for k in range(15) for x in ("t", "u", "v", f"q{k}")] + [f"b{i}" for i in range(12)]
+    doc = item[:12] + ["t", "u", "v"] + item[12:]
+    assert leaks.leaked_share(doc, item) > 0.9
+
+
 # mixing ---------------------------------------------------------------------
 
 
@@ -365,6 +409,7 @@ def test_apportion_equals_the_quotient_rule():
     for _ in range(20):
         want[max((v / (2 * n + 1), -i) for i, (v, n) in enumerate(zip(votes, want)) if n < caps[i])[1] * -1] += 1
     assert got == want and mixing.apportion([1.0], 5, [2]) == [2]
+    assert mixing.apportion([0.5, 0.3, 0.2], 10**12, [10**12, 10**10, 10**12])[1] == 10**10
 
 
 def test_mix(spark):
@@ -375,6 +420,8 @@ def test_mix(spark):
     short = {(r.plan_id, r.source) for r in plan.where("short").collect()}
     assert short == {(1, "b"), (2, "missing")}
     repeats = {(r.plan_id, r.source): r.most for r in draw.groupBy("plan_id", "source").agg(F.max("times").alias("most")).collect()}
+    quotas = {(r.plan_id, r.source): r.blocks for r in plan.collect()}
+    assert quotas[1, "b"] < 50 < quotas[1, "a"]  # what a cap keeps from a source goes to others
     assert repeats[1, "a"] == 1 and repeats[1, "b"] == 1 and repeats[2, "b"] <= 3
     assert rows(draw) == rows(mixing.mix_sources(df, targets, blocks=100)[1])
     assert mixing.mix_sources(df.limit(0), targets)[0].count() == 4
