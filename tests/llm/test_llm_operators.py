@@ -465,3 +465,28 @@ def test_readings_undo_swaps_exactly():
     assert ("cp1252*2", "–") in encoding.readings("–".encode().decode("cp1252").encode().decode("cp1252"))
     assert ("utf-16-le", "Hi there") in encoding.readings("Hi there".encode().decode("utf-16-le"))
     assert not encoding.readings("ã") and not re.search("x", "".join(t for _, t in encoding.readings("Ω")))
+
+
+def test_symbols_are_the_shortest_strings_that_stand_for_letters():
+    cut = {swap: symbols for swap, _, symbols in encoding.spelled("áñ–".encode().decode("cp1252").encode().decode("cp1252"))}
+    assert [x for _, x in cut["cp1252*2"]] == ["á", "ñ", "–"]
+    assert [(s, x) for swap, _, symbols in encoding.spelled("鈥檚") if swap == "gb18030*1" for s, x in symbols] == [("鈥檚", "’s")]
+
+
+def test_substitute_goes_through_the_table():
+    symbols = [("Ã©", "é"), ("Ã", "Ã")]
+    assert encoding.substitute(symbols[:1], "xÃ©Ã©y", {"Ã©": "é"}) == "xééy"
+    assert encoding.substitute(symbols, "Ã©Ã", {"Ã©": "é", "Ã": "A"}) == "éA"
+
+
+def test_the_table_decides_between_letters(spark):
+    """A source's table is learned: with the counts of one source a symbol is read as that source's letters."""
+    language = encoding.Language({}, {}, {("a", "X", "é"): 5.0, ("b", "X", "è"): 5.0, ("c", "X", "X"): 9.0}, {"é": 9.0, "è": 9.0})
+    assert language.letters_of("a", [("X", "è")]) == {"X": "é"} and language.letters_of("b", [("X", "è")]) == {"X": "è"}
+    assert language.odds("a", "X", "é") > 0 > language.odds("c", "X", "é")
+
+
+def test_too_many_counts_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "MOST_ENTRIES", 2)
+    with pytest.raises(ValueError):
+        encoding.repair(spark.createDataFrame([(i, t, "s") for i, t in enumerate(CLEAN)], "doc_id long, text string, source string"))
