@@ -178,3 +178,25 @@ PAGE_WORDS = {
     "terms": ("terms", "tos", "terms-of-service", "terms-and-conditions"),
     "blog": ("blog", "news", "insights", "articles"),
 }
+
+# Patterns of hosts, registration numbers, phones, e-mail addresses, facts in text and analytics ids.
+HOST_PATTERN = r"^(?=.{1,253}$)([a-z0-9]([a-z0-9\-]{0,61}[a-z0-9])?\.)+[a-z]{2,63}$"
+CIN_PATTERN = r"^[LU]\d{5}[A-Z]{2}\d{4}[A-Z]{3}\d{6}$"
+PHONE_PATTERN = r"(?:\+?91[\- ]?)?0?[6-9]\d{9}\b"
+EMAIL_PATTERN = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
+FOUNDED_PATTERN = r"(?i)(?:founded|established|est\.?|since|inception|incorporated)[^0-9]{0,20}(19\d{2}|20\d{2})"
+STAFF_PATTERN = r"(?i)(?:\d{1,3}(?:,\d{3})*|\d+)\s*\+?\s*(?:employees|team members|people|professionals)"
+TEAM_OF_PATTERN = r"(?i)team of\s+(?:\d{1,3}(?:,\d{3})*|\d+)\+?"
+ANALYTICS_ID_PATTERN = r"\b(?:UA-\d{4,}-\d+|G-[A-Z0-9]{6,}|GTM-[A-Z0-9]{4,})\b"
+
+# Hosts of throw-away mailboxes, statuses that make an address useless, and addresses tried at every host.
+DISPOSABLE_DOMAINS = (
+    "mailinator.com", "10minutemail.com", "guerrillamail.com", "guerrillamail.info", "tempmail.com", "temp-mail.org", "trashmail.com", "yopmail.com", "getnada.com",
+    "throwawaymail.com", "fakeinbox.com", "sharklasers.com", "maildrop.cc", "dispostable.com", "mailnesia.com", "mvrht.net", "spamgourmet.com",
+    "tempinbox.com", "emailondeck.com", "mohmal.com", "moakt.com", "burnermail.io", "tempmailo.com", "1secmail.com", "tmpmail.org", "discard.email",
+)
+USELESS_STATUSES = ("invalid", "disposable")
+PATTERN_LOCALS = ("info", "contact", "sales", "support", "hello")
+
+# Words that are no keywords.
+STOP_WORDS = "the a an and or for of to in on with your our we is are be by from at as it that this you they their his her its all can will more most best your you're company startup private limited llp india based services solutions".split()

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,13 +10,10 @@ from ledgerloom.functions.text import collapse, is_blank, or_null
 
 
 def _title(x: Column) -> Column:
-    """Title case as Python has it, which restarts after every character that is no letter."""
-
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.str.title()
-
-    return run(x)
+    """Title case that restarts after every character that is no letter."""
+    letters = F.split(x, "")
+    one = lambda c, i: F.when((i > 0) & F.get(letters, i - 1).rlike(r"\p{L}"), F.lower(c)).otherwise(F.upper(c))
+    return F.array_join(F.transform(letters, one), "")
 
 
 def display_name(x: Column) -> Column:

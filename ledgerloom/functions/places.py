@@ -17,7 +17,7 @@ def title_place(x: Column) -> Column:
     """Words capitalized, but for small ones that aren't first."""
 
     def one(w: Column, i: Column) -> Column:
-        return F.when((i > 0) & w.isin(*SMALL_WORDS), w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 100_000))))
+        return F.when((i > 0) & w.isin(*SMALL_WORDS), w).otherwise(F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 2**31 - 1))))
 
     return F.array_join(F.transform(F.split(x, " "), one), " ")
 

@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerloom.dictionaries import CIN_PATTERN
 from ledgerloom.functions.text import BLANK, collapse, is_blank, or_null, strip
 
-CIN = r"^[LU]\d{5}[A-Z]{2}\d{4}[A-Z]{3}\d{6}$"
-
-
 def phone(x: Column) -> Column:
     """+91 and ten digits that begin with 6 to 9, or null. Of longer numbers the last ten digits count."""
     digits = F.regexp_replace(F.regexp_replace(x, r"\D", ""), r"^0+(?=\d{10})", "")
-    digits = F.when((F.length(digits) > 10) & digits.startswith("91"), F.substring(digits, 3, 1000)).otherwise(digits)
+    digits = F.when((F.length(digits) > 10) & digits.startswith("91"), F.substring(digits, 3, 2**31 - 1)).otherwise(digits)
     last = F.substring(digits, -10, 10)
     return F.when(~is_blank(x) & (F.length(digits) >= 10) & last.rlike("^[6-9]"), F.concat(F.lit("+91"), last))
 
@@ -21,7 +19,7 @@ def phone(x: Column) -> Column:
 def cin(x: Column) -> Column:
     """A registration number in upper case without blanks, or null where it isn't well formed."""
     clean = F.upper(F.regexp_replace(x, f"{BLANK}+", ""))
-    return F.when(~is_blank(x) & clean.rlike(CIN), clean)
+    return F.when(~is_blank(x) & clean.rlike(CIN_PATTERN), clean)
 
 
 def flag(x: Column) -> Column:

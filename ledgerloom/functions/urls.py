@@ -5,15 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerloom.dictionaries import GENERIC_DOMAINS
+from ledgerloom.dictionaries import GENERIC_DOMAINS, HOST_PATTERN
 from ledgerloom.functions.text import BLANK, is_blank, or_null
 
 SCHEME = r"^(?i)[a-z][a-z0-9+.\-]*://"
-HOST = r"^(?=.{1,253}$)([a-z0-9]([a-z0-9\-]{0,61}[a-z0-9])?\.)+[a-z]{2,63}$"
 
 
 def is_host(x: Column) -> Column:
-    return x.rlike(HOST)
+    return x.rlike(HOST_PATTERN)
 
 
 def _bare_host(x: Column) -> Column:
@@ -42,8 +41,21 @@ def is_generic_domain(x: Column) -> Column:
     """Whether a host, or one it is a sub-domain of, is shared by many companies."""
     labels = F.split(x, r"\.")
     n = F.size(labels)
-    tails = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), "."))
-    return F.coalesce(F.arrays_overlap(tails, F.array(*map(F.lit, GENERIC_DOMAINS))), F.lit(False))
+    # membership in a set, so a host costs as many look-ups as it has labels
+    return F.coalesce(F.exists(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(labels, i, n), ".").isin(*GENERIC_DOMAINS)), F.lit(False))
+
+
+def join(base: Column, href: Column) -> Column:
+    """A link's address, relative to its page's; dot segments stay."""
+    origin = F.regexp_extract(base, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*", 0)
+    bare = F.regexp_replace(base, r"[?#].*$", "")
+    folder = F.when(bare == origin, F.concat(origin, F.lit("/"))).otherwise(F.regexp_replace(bare, "[^/]*$", ""))
+    return (
+        F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), href)
+        .when(href.startswith("//"), F.concat(F.substring_index(origin, "//", 1), href))
+        .when(href.startswith("/"), F.concat(origin, href))
+        .otherwise(F.concat(folder, href))
+    )
 
 
 def is_same_site(host: Column, root: Column) -> Column:

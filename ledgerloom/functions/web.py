@@ -6,33 +6,28 @@ import json
 import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
-from urllib.parse import urljoin, urlsplit
+from urllib.parse import urljoin
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.dictionaries import EMAIL_JUNK, EMAIL_JUNK_DOMAINS, GITHUB_PAGES_IPS, HOSTING_SIGNS, PAGE_WORDS, SOCIAL_HOSTS, SOCIAL_NO_PROFILE, SOCIAL_SKIP, TECHNOLOGIES
+from ledgerloom.dictionaries import ANALYTICS_ID_PATTERN, EMAIL_JUNK, EMAIL_JUNK_DOMAINS, EMAIL_PATTERN, FOUNDED_PATTERN, GITHUB_PAGES_IPS, HOSTING_SIGNS, PAGE_WORDS, SOCIAL_HOSTS, SOCIAL_NO_PROFILE, SOCIAL_SKIP, STAFF_PATTERN, TEAM_OF_PATTERN, TECHNOLOGIES
+from ledgerloom.functions import urls
 from ledgerloom.functions.text import collapse, or_null
 
-EMAIL = r"[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}"
-FOUNDED = r"(?i)(?:founded|established|est\.?|since|inception|incorporated)[^0-9]{0,20}(19\d{2}|20\d{2})"
-STAFF = r"(?i)(?:\d{1,3}(?:,\d{3})*|\d+)\s*\+?\s*(?:employees|team members|people|professionals)"
-TEAM_OF = r"(?i)team of\s+(?:\d{1,3}(?:,\d{3})*|\d+)\+?"
-
-
 def title(html: Column) -> Column:
     return or_null(F.substring(collapse(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)), 1, 300))
 
 
 def founded_year(text: Column, this_year: int) -> Column:
     """The first year named as that of the foundation, unless it lies outside 1900 to this year."""
-    year = F.regexp_extract(text, FOUNDED, 1).try_cast("int")
+    year = F.regexp_extract(text, FOUNDED_PATTERN, 1).try_cast("int")
     return F.when(year.between(1900, this_year), year)
 
 
 def staff_phrase(text: Column) -> Column:
-    return F.coalesce(or_null(F.trim(F.regexp_extract(text, STAFF, 0))), or_null(F.trim(F.regexp_extract(text, TEAM_OF, 0))))
+    return F.coalesce(or_null(F.trim(F.regexp_extract(text, STAFF_PATTERN, 0))), or_null(F.trim(F.regexp_extract(text, TEAM_OF_PATTERN, 0))))
 
 
 def address_near_pin(text: Column) -> Column:
@@ -43,7 +38,7 @@ def address_near_pin(text: Column) -> Column:
 
 def emails(html: Column) -> Column:
     """Sorted different addresses in a page, without assets and placeholder hosts."""
-    found = F.transform(F.regexp_extract_all(html, F.lit(f"({EMAIL})"), 1), lambda e: F.regexp_replace(F.lower(e), r"^\.+|\.+$", ""))
+    found = F.transform(F.regexp_extract_all(html, F.lit(f"({EMAIL_PATTERN})"), 1), lambda e: F.regexp_replace(F.lower(e), r"^\.+|\.+$", ""))
 
     def wanted(e: Column) -> Column:
         junk = F.lit(False)
@@ -56,16 +51,29 @@ def emails(html: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(found, wanted)))
 
 
-def technologies(html: Column) -> Column:
-    """name:evidence of each technology whose text stands in the page; the first evidence counts."""
-    hay = F.lower(html)
-    found = []
-    for name, _, needles in TECHNOLOGIES:
-        sign = F.lit(None).cast("string")
-        for needle in reversed(needles):
-            sign = F.when(F.contains(hay, F.lit(needle)), F.lit(needle)).otherwise(sign)
-        found.append(F.concat(F.lit(name + ":"), sign))
-    return F.filter(F.array(*found), lambda x: x.isNotNull())
+SIGN = "struct<technology:string,category:string,evidence:string>"
+
+
+def technologies(html: Column, server: Column | None = None, powered: Column | None = None) -> Column:
+    """(technology, category, evidence) of each technology that the page or its headers give away.
+
+    The first of a technology's texts that stands in the page is its evidence, and an analytics id goes before it. The page is lowered
+    once, in the outer function's array, and searched for each text once.
+    """
+    signs = F.array(*(F.struct(F.lit(n).alias("technology"), F.lit(c).alias("category"), F.lit(x).alias("evidence")) for n, c, texts in TECHNOLOGIES for x in texts))
+    seen = F.transform(F.array(F.lower(html)), lambda low: F.filter(signs, lambda s: F.contains(low, s.evidence)))
+    found = F.transform(seen, lambda all_: F.filter(all_, lambda s, i: (i == 0) | (F.get(all_, i - 1).technology != s.technology)))[0]
+    name = F.regexp_extract(html, ANALYTICS_ID_PATTERN, 0)
+    sign = lambda when, tech, kind, evidence: F.when(when, F.struct(F.lit(tech).alias("technology"), F.lit(kind).alias("category"), evidence.alias("evidence")))
+    sure = [sign(name.startswith("GTM-"), "Google Tag Manager", "analytics", name), sign((name != "") & ~name.startswith("GTM-"), "Google Analytics", "analytics", name)]
+    more = []
+    if server is not None:
+        sure.append(sign(F.contains(F.lower(server), F.lit("cloudflare")), "Cloudflare", "cdn", F.lit("server: cloudflare")))
+    if powered is not None:
+        by = F.lower(powered)
+        more = [sign(F.contains(by, F.lit(x.lower())), x, "backend", F.concat(F.lit("x-powered-by: "), by)) for x in ("PHP", "Express")]
+    known = F.array_compact(F.array(*sure))
+    return F.concat(known, F.filter(found, lambda s: ~F.exists(known, lambda k: k.technology == s.technology)), F.array_compact(F.array(*more)) if more else F.array().cast(f"array<{SIGN}>"))
 
 
 def hosting(addresses: Column, names: Column, reverse: Column, server: Column) -> Column:
@@ -164,29 +172,37 @@ def read_page(html: str | None) -> _Reader:
     return reader
 
 
+def _nodes(data) -> list[dict]:
+    """The objects of a block of linked data: a list's, a graph's, or the block itself."""
+    if isinstance(data, dict):
+        data = data["@graph"] if isinstance(data.get("@graph"), list) else [data]
+    return [x for x in data if isinstance(x, dict)] if isinstance(data, list) else []
+
+
+def _of_organization(node: dict) -> dict:
+    kinds = node.get("@type") or []
+    if not {"Organization", "Corporation", "LocalBusiness"}.intersection([kinds] if isinstance(kinds, str) else kinds):
+        return {}
+    place = node["address"] if isinstance(node.get("address"), dict) else {}
+    year = re.search(r"(?:19|20)\d{2}", str(node.get("foundingDate") or ""))
+    made = {
+        "name": str(node.get("name") or ""),
+        "year": int(year[0]) if year else 0,
+        "address": ", ".join(str(place[k]) for k in ("streetAddress", "addressLocality", "addressRegion", "postalCode", "addressCountry") if place.get(k)),
+    }
+    return {k: v for k, v in made.items() if v}
+
+
 def _organization(blocks: list[str]) -> dict:
-    """Name, year and address of the first organizations in linked data; broken blocks are skipped."""
+    """Name, year and address, each from the first organization in linked data that has it; broken blocks are skipped."""
     out: dict = {}
     for block in blocks:
         try:
             data = json.loads(block)
         except ValueError:
             continue
-        nodes = data if isinstance(data, list) else data["@graph"] if isinstance(data, dict) and isinstance(data.get("@graph"), list) else [data]
-        for node in nodes:
-            if not isinstance(node, dict):
-                continue
-            kinds = node.get("@type", "")
-            if not set(kinds if isinstance(kinds, list) else [kinds]) & {"Organization", "Corporation", "LocalBusiness"}:
-                continue
-            if node.get("name"):
-                out.setdefault("name", str(node["name"]))
-            if year := re.search(r"(?:19|20)\d{2}", str(node.get("foundingDate") or "")):
-                out.setdefault("year", int(year[0]))
-            if isinstance(node.get("address"), dict):
-                parts = [node["address"].get(k) for k in ("streetAddress", "addressLocality", "addressRegion", "postalCode", "addressCountry")]
-                if text := ", ".join(str(p) for p in parts if p):
-                    out.setdefault("address", text)
+        for node in _nodes(data):
+            out = _of_organization(node) | out
     return out
 
 
@@ -216,10 +232,34 @@ def page_facts(pages: DataFrame, key: str, html: str, base: str) -> DataFrame:
     return pages.select(F.col(key).alias("key"), F.col(html).alias("html"), F.col(base).alias("base")).mapInPandas(read, schema).withColumnRenamed("key", key)
 
 
-def page_types(href: str, label: str, root: str) -> list[str]:
-    """The page types a link of a site leads to."""
-    host = (urlsplit(href).hostname or "").removeprefix("www.")
-    if host != root and not host.endswith("." + root):
-        return []
-    hay = f"{href} {label}".lower()
-    return [t for t, words in PAGE_WORDS.items() if any(w in hay for w in words)]
+ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>"""
+
+
+def anchors(html: Column) -> Column:
+    """(href, label) of the links of a page, in their order."""
+    hrefs, labels = (F.regexp_extract_all(html, F.lit(ANCHOR), i) for i in (1, 2))
+    return F.zip_with(hrefs, labels, lambda h, t: F.struct(F.trim(h).alias("href"), collapse(F.regexp_replace(t, "<[^>]*>", " ")).alias("label")))
+
+
+def page_types(href: Column, label: Column, address: Column) -> Column:
+    """The page types that a link's words, or its address' path, name."""
+    hay = F.lower(F.concat_ws(" ", href, label))
+    path = F.lower(F.regexp_extract(address, r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*([^?#]*)", 1))
+    return F.array_compact(F.array(*(F.when(F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(hay, w) | F.contains(path, w)), t) for t, words in PAGE_WORDS.items())))
+
+
+def discovered(homes: DataFrame, key: str, html: str, url: str, root: str) -> DataFrame:
+    """(key, page_type, url) of the first link of each home page to each page type on its own site; mail, phone, script and in-page links lead nowhere."""
+    links = homes.select(F.col(key), F.col(url).alias("_base"), F.col(root).alias("_root"), F.posexplode(anchors(F.col(html))).alias("_pos", "_a"))
+    links = links.where((F.col("_a.href") != "") & ~F.col("_a.href").rlike("^(?:mailto:|tel:|javascript:|#)"))
+    links = links.withColumn("url", urls.join(F.col("_base"), F.col("_a.href")))
+    own = links.where(urls.is_same_site(urls.domain(F.col("url")), F.col("_root")))
+    kinds = own.select(key, "url", "_pos", F.explode(page_types(F.col("_a.href"), F.col("_a.label"), F.col("url"))).alias("page_type"))
+    return kinds.groupBy(key, "page_type").agg(F.min_by("url", "_pos").alias("url"))
+
+
+def favicon(html: Column, base: Column) -> Column:
+    """The address of the first icon a page links to, else the usual place on its host."""
+    tag = F.regexp_extract(html, r"""(?i)<link[^>]+rel=["']?[^"'>]*icon[^"'>]*["']?[^>]*>""", 0)
+    href = F.regexp_extract(tag, r"""(?i)href=["']([^"']+)["']""", 1)
+    return urls.join(base, F.when(href != "", href).otherwise("/favicon.ico"))

@@ -44,27 +44,30 @@ def link_counts(records: DataFrame) -> DataFrame:
 
 def star_links(keys: DataFrame) -> DataFrame:
     """(u, v), v the first record under each key: one link a record instead of all pairs."""
-    keys = keys.select("row_idx", F.xxhash64("kind", "key").alias("k"), "kind", "key")
-    hubs = keys.groupBy("kind", "key").agg(F.min("row_idx").alias("v"), F.count("*").alias("n_rows"), F.first("k").alias("k")).where("n_rows > 1")
-    joined = join_by_key(keys.withColumn("id", F.concat_ws("\u0001", "kind", "key")).select("row_idx", "id"), hubs.select(F.concat_ws("\u0001", "kind", "key").alias("id"), "v", "n_rows"), "id")
-    return joined.where("row_idx <> v").select(F.col("row_idx").alias("u"), "v").distinct()
+    kept = Kept(keys.sparkSession)
+    keys = kept.keep(keys.select("row_idx", F.concat_ws("\u0001", "kind", "key").alias("id")), "keys")
+    hubs = keys.groupBy("id").agg(F.min("row_idx").alias("v"), F.count("*").alias("n_rows")).where("n_rows > 1")
+    return join_by_key(keys, hubs, "id").where("row_idx <> v").select(F.col("row_idx").alias("u"), "v").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(row_idx, cluster) of every record with a link, by large and small stars in turn; the cluster is its smallest record."""
+    """(row_idx, cluster) of every record with a link, by large and small stars in turn; the cluster is its smallest record. Each round writes two tables."""
     kept = Kept(links.sparkSession)
     links = kept.keep(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links")
-    before = None
+    digest = F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", F.lit(7)))
+    before = links.agg(*digest).first()
     for _ in range(MAX_ROUNDS):
-        both = kept.keep(links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))), "both")
-        least = kept.keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n_rows")), "least")
-        large = join_by_key(both, least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        if not before[0]:
+            return links.select(F.col("u").alias("row_idx"), F.col("v").alias("cluster"))
+        both = links.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.u", "e.v")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n_rows"))
+        large = join_by_key(both, least, "u", total=2 * before[0]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = kept.keep(large, "large")
-        least = kept.keep(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n_rows")), "least")
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n_rows"))
         joined = join_by_key(large, least, "u")
         small = joined.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
         links = kept.keep(small, "links")
-        now = links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", F.lit(7)))).first()
+        now = links.agg(*digest).first()
         if now == before:
             tops = links.select(F.col("v").alias("row_idx"), F.col("v").alias("cluster"))
             return links.select(F.col("u").alias("row_idx"), F.col("v").alias("cluster")).unionByName(tops).distinct()

@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.dictionaries import HOSTING_SIGNS, PAGE_WORDS, TECHNOLOGIES
+from ledgerloom.dictionaries import HOSTING_SIGNS, PAGE_WORDS, PHONE_PATTERN, STOP_WORDS, TECHNOLOGIES
 from ledgerloom.functions import names, places, records, urls, web
-from ledgerloom.functions.text import collapse, is_blank
+from ledgerloom.functions.text import collapse
 from ledgerloom.operators import linking, merging
-from ledgerloom.plans import sql
+from ledgerloom.plans import captured, sql
 from ledgerloom.session import Kept
 from ledgerloom.sources import pages, raw
 from ledgerloom.sources.tables import table
@@ -33,21 +33,25 @@ def _raw_each(columns: Callable[[], dict[str, Column]]) -> Query:
 def _records(spark: SparkSession, folder: str) -> DataFrame:
     """companies as records to link, in their order."""
     made = {
-        "startup_india_id": records.source_id(F.col("startup_india_id")), "name": F.when(~is_blank(F.col("name")), collapse(F.col("name"))), "name_key": names.name_key(F.col("name")), "website": urls.website(F.col("website")),
+        "startup_india_id": records.source_id(F.col("startup_india_id")), "name": names.display_name(F.col("name")), "name_key": names.name_key(F.col("name")), "website": urls.website(F.col("website")),
         "domain": urls.domain(F.col("website")), "city": places.city(F.col("city")), "state": places.state(F.col("state")), "cin": records.cin(F.col("cin")), "phone": records.phone(F.col("phone")),
     } | {c: records.label(F.col(c)) for c in ("industry", "sector", "stage", "status", "role")}
     return table(spark, folder, "companies").select(F.col("id").alias("row_idx"), "registration_date", F.col("dpiit_certified").alias("dpiit"), *(c.alias(n) for n, c in made.items())).where("name is not null")
 
 
+def _kept_records(spark: SparkSession, folder: str) -> DataFrame:
+    """The records written once, for plans that read them several times."""
+    return Kept(spark).keep(_records(spark, folder), "records")
+
+
 def _clustered(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    kept = Kept(spark)
-    rows = kept.keep(_records(spark, folder), "records")
-    return rows, kept.keep(linking.clusters(rows), "clusters")
+    rows = _kept_records(spark, folder)
+    return rows, Kept(spark).keep(linking.clusters(rows), "clusters")
 
 
 RECORDS = f"""records AS MATERIALIZED (
   SELECT * FROM (SELECT id AS row_idx, registration_date, dpiit_certified AS dpiit, nullif({sql.strip("startup_india_id")}, '') AS startup_india_id,
-    {sql.label("name")} AS name, {sql.name_key("name")} AS name_key, {sql.website("website")} AS website, {sql.domain("website")} AS domain, {sql.city("city")} AS city,
+    {sql.display_name("name")} AS name, {sql.name_key("name")} AS name_key, {sql.website("website")} AS website, {sql.domain("website")} AS domain, {sql.city("city")} AS city,
     {sql.state("state")} AS state, {sql.cin("cin")} AS cin, {sql.phone("phone")} AS phone, {", ".join(f"{sql.label(c)} AS {c}" for c in ("industry", "sector", "stage", "status", "role"))}
   FROM companies) WHERE name IS NOT NULL),
 shared AS (
@@ -205,7 +209,7 @@ def _page_phones(spark: SparkSession, folder: str) -> DataFrame:
     """Each company's numbers with the page type they are first seen on, of links to call and of the visible text."""
     text = F.regexp_replace("html", "<[^>]*>", " ")
     linked = F.regexp_extract_all("html", F.lit(TEL_LINK), 2)
-    raw_numbers = F.regexp_extract_all(text, F.lit(r"((?:\+?91[\- ]?)?0?[6-9]\d{9}\b)"), 1)
+    raw_numbers = F.regexp_extract_all(text, F.lit(f"({PHONE_PATTERN})"), 1)
     found = _wrapped(spark, folder).select("company_id", "page_type", "id", F.explode(F.concat(linked, raw_numbers)).alias("n")).select("company_id", "page_type", "id", records.phone(F.col("n")).alias("phone")).where("phone is not null")
     return found.groupBy("company_id", "phone").agg(F.min_by("page_type", F.struct((F.col("page_type") != "home").alias("later"), "id")).alias("source_page"))
 
@@ -247,17 +251,14 @@ def _page_facts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _page_links(spark: SparkSession, folder: str) -> DataFrame:
-    """The number of links of each page by the page type their words name."""
-    rows = _wrapped(spark, folder).withColumn("url", F.concat(F.lit("https://"), F.element_at(F.split("stored_path", "/"), 2), F.lit("/")))
-    read = web.page_facts(rows.withColumn("key", F.struct("company_id", "page_type")), "key", "html", "url").select("key.company_id", "key.page_type", F.posexplode("links").alias("pos", "link"))
-    hay = F.lower(F.concat_ws(" ", "link.href", "link.label"))
-    kinds = F.filter(F.array(*(F.when(F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(hay, w)), t) for t, words in PAGE_WORDS.items())), lambda x: x.isNotNull())
-    return read.select("company_id", "page_type", "pos", F.explode(kinds).alias("leads_to")).groupBy("company_id", "leads_to").agg(F.min("pos").alias("first_pos"), F.count("*").alias("n"))
+    """The pages of its own site that each captured home page leads to, the first of each type."""
+    host = F.element_at(F.split("stored_path", "/"), 2)
+    rows = _wrapped(spark, folder).where("page_type = 'home'").select(F.struct("company_id", "id").alias("key"), "html", F.concat(F.lit("https://"), host, F.lit("/")).alias("url"), F.regexp_replace(host, r"^www\.", "").alias("root"))
+    return web.discovered(rows, "key", "html", "url", "root").select("key.company_id", "page_type", "url")
 
 
 def _technologies(spark: SparkSession, folder: str) -> DataFrame:
-    found = _wrapped(spark, folder).select("company_id", F.explode(web.technologies(F.col("html"))).alias("t"))
-    return found.select("company_id", F.substring_index("t", ":", 1).alias("technology"), F.substring_index("t", ":", -1).alias("evidence")).distinct()
+    return _wrapped(spark, folder).select("company_id", F.inline(web.technologies(F.col("html")))).select("company_id", "technology", "evidence").distinct()
 
 
 def _hosting(spark: SparkSession, folder: str) -> DataFrame:
@@ -266,7 +267,6 @@ def _hosting(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _HOSTING_CASES = " ".join(f"WHEN contains(hay, '{n}') THEN '{p}'" for n, p in HOSTING_SIGNS)
-_HAY = r"lower(href || ' ' || label)"
 
 
 def _keywords(spark: SparkSession, folder: str, k: int = 8) -> DataFrame:
@@ -278,10 +278,6 @@ def _keywords(spark: SparkSession, folder: str, k: int = 8) -> DataFrame:
     return top.select("company_id", F.array_join(F.transform("w", lambda x: x.word), " ").alias("keywords"))
 
 
-#: Words that are no keywords.
-STOP_WORDS = "the a an and or for of to in on with your our we is are be by from at as it that this you they their his her its all can will more most best your you're company startup private limited llp india based services solutions".split()
-
-
 def _company_keywords(spark: SparkSession, folder: str, k: int = 8) -> DataFrame:
     """Up to k keywords of each company: industry, sector, its shop or blog system, then the most frequent words of its
     last description without stop words; ties in the order of their first place, words alike but for case once."""
@@ -298,7 +294,7 @@ def _company_keywords(spark: SparkSession, folder: str, k: int = 8) -> DataFrame
     room = F.greatest(F.lit(k) - F.size(lead), F.lit(1))
     every = F.concat(lead, F.slice(F.coalesce("words", none), F.lit(1), room))
     once = F.filter(every, lambda x, i: F.array_position(F.transform(every, lambda y: F.lower(y)), F.lower(x)) == i + 1)
-    return joined.select("company_id", F.slice(once, 1, k).alias("keywords"))
+    return joined.select("company_id", F.array_join(F.slice(once, 1, k), ",").alias("keywords"))
 
 
 def _orphans(spark: SparkSession, folder: str) -> DataFrame:
@@ -326,17 +322,31 @@ def _probe_status(spark: SparkSession, folder: str) -> DataFrame:
     """Single titles of probes changed by key, the rest as it was."""
     old = _probes(spark, folder).select("company_id", "http_status", "title")
     updates = old.where("http_status >= 400").select("company_id", F.lit("unreachable").alias("title"))
-    return merging.set_status(old, updates, "company_id", ["title"]).withColumn("http_status", F.col("http_status").cast("string"))
+    return merging.set_status(old, updates, "company_id", ["title"])
 
 
 def _sample_work(spark: SparkSession, folder: str) -> DataFrame:
     """A seeded sample of the work-list, the same on every run."""
     left = _work(spark, folder, "crawl")
-    return left.orderBy(F.xxhash64(F.lit(7), "company_id"), "company_id").limit(50)
+    return left.orderBy(F.md5(F.concat(F.lit("7:"), F.col("company_id").cast("string")).cast("binary")), "company_id").limit(50)
 
 
 _TECH = ", ".join("('" + n + "', [" + sql.words(needles) + "])" for n, _, needles in TECHNOLOGIES)
 
+_NORMALIZED = f"""SELECT * FROM (SELECT row_idx, nullif({sql.strip("id")}, '') AS startup_india_id, {sql.display_name("name")} AS name, {sql.name_key("name")} AS name_key, {sql.website("website")} AS website, {sql.domain("website")} AS domain,
+  {sql.label("industries")} AS industry, {sql.label("sectors")} AS sector, {sql.label("stages")} AS stage, {sql.city("city")} AS city, {sql.state("state")} AS state, {sql.registration_date("registration_date_raw", "registered_on")} AS registration_date, {sql.cin("cin")} AS cin,
+  {sql.flag("dipp_certified")} AS dpiit, {sql.label("company_status")} AS status, {sql.phone("contact_number")} AS phone, {sql.label("role")} AS role FROM ({raw.DERIVED_SQL.replace(" AS string", " AS VARCHAR")})) WHERE name IS NOT NULL"""
+_LINKS_SQL = f"""WITH {WRAPPED}, {captured._found_sql("SELECT {'company_id': company_id, 'id': id} AS key, html, 'https://' || split_part(stored_path, '/', 2) || '/' AS base, regexp_replace(split_part(stored_path, '/', 2), '^www\\.', '') AS root FROM wrapped WHERE page_type = 'home'")} SELECT key.company_id AS company_id, page_type, url FROM found"""
+
+_KEYWORDS_SQL = rf"""WITH {WRAPPED}, last AS (SELECT company_id, description FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY updated_at DESC, description DESC) AS k FROM company_enrichment WHERE description IS NOT NULL) WHERE k = 1),
+t AS (SELECT company_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM (SELECT company_id, regexp_extract_all(lower(description), '[a-z][a-z0-9\-]{{3,}}') AS w FROM last)),
+c AS (SELECT company_id, word, count(*) AS n, min(pos) AS pos FROM t WHERE word NOT IN ({sql.words(STOP_WORDS)}) GROUP BY company_id, word),
+top AS (SELECT company_id, list(word ORDER BY n DESC, pos)[:8] AS words FROM c GROUP BY company_id),
+sys AS (SELECT company_id, list_sort(list_distinct(list(s))) AS systems FROM (SELECT company_id, unnest(list_filter(['Shopify', 'WordPress'], lambda x: CASE WHEN x = 'Shopify' THEN {" OR ".join(f"contains(lower(html), '{w}')" for w in TECHNOLOGIES[1][2])} ELSE {" OR ".join(f"contains(lower(html), '{w}')" for w in TECHNOLOGIES[0][2])} END)) AS s FROM wrapped) GROUP BY company_id),
+l AS (SELECT id AS company_id, list_filter(list_concat([{sql.label('industry')}, {sql.label('sector')}], coalesce(systems, [])), lambda x: x IS NOT NULL) AS lead, coalesce(words, []) AS words FROM companies LEFT JOIN sys ON sys.company_id = id LEFT JOIN top ON top.company_id = id),
+e AS (SELECT company_id, list_concat(lead, words[:greatest(8 - len(lead), 1)]) AS every FROM l)
+SELECT company_id, array_to_string(list_filter(every, lambda x, i: list_position(list_transform(every, lambda y: lower(y)), lower(x)) = i)[:8], ',') AS keywords FROM e"""
+
 CATALOGUE: dict[str, tuple[Query, str | None]] = {
     "norm_website": (_each("companies", "id", lambda: dict(website=urls.website(F.col("website")))), f"SELECT id, {sql.website('website')} AS website FROM companies"),
     "extract_domain": (_each("companies", "id", lambda: dict(domain=urls.domain(F.col("website")))), f"SELECT id, {sql.domain('website')} AS domain FROM companies"),
@@ -345,27 +355,27 @@ CATALOGUE: dict[str, tuple[Query, str | None]] = {
     "norm_state": (_each("companies", "id", lambda: dict(state=places.state(F.col("state")))), f"SELECT id, {sql.state('state')} AS state FROM companies"),
     "norm_city": (_each("companies", "id", lambda: dict(city=places.city(F.col("city")))), f"SELECT id, {sql.city('city')} AS city FROM companies"),
     "name_key": (_each("companies", "id", lambda: dict(name_key=names.name_key(F.col("name")))), f"SELECT id, {sql.name_key('name')} AS name_key FROM companies"),
-    "name_display": (_each("companies", "id", lambda: dict(name=names.display_name(F.col("name")))), None),
+    "name_display": (_each("companies", "id", lambda: dict(name=names.display_name(F.col("name")))), f"SELECT id, {sql.display_name('name')} AS name FROM companies"),
     "norm_labels": (_each("companies", "id", lambda: dict(**{c: records.label(F.col(c)) for c in ("industry", "sector", "stage", "status", "role")})), "SELECT id, " + ", ".join(f"{sql.label(c)} AS {c}" for c in ("industry", "sector", "stage", "status", "role")) + " FROM companies"),
     "source_ids": (_each("companies", "id", lambda: dict(source_id=records.source_id(F.col("startup_india_id")))), f"SELECT id, nullif({sql.strip('startup_india_id')}, '') AS source_id FROM companies"),
     "generic_domain": (_raw_each(lambda: dict(domain=urls.domain(F.col("website")), generic=urls.is_generic_domain(urls.domain(F.col("website"))))), f"SELECT row_idx, domain, {sql.generic('domain')} AS generic FROM (SELECT row_idx, {sql.domain('website')} AS domain FROM ({raw.DERIVED_SQL.replace(' AS string', ' AS VARCHAR')}))"),
     "generic_name": (_each("companies", "id", lambda: dict(generic=names.is_generic_key(names.name_key(F.col("name"))))), f"SELECT id, {sql.generic_key(sql.name_key('name'))} AS generic FROM companies"),
     "norm_date": (_raw_each(lambda: dict(registration_date=records.registration_date(F.col("registration_date_raw"), F.col("registered_on")))), f"SELECT row_idx, {sql.registration_date('registration_date_raw', 'registered_on')} AS registration_date FROM ({raw.DERIVED_SQL.replace(' AS string', ' AS VARCHAR')})"),
     "norm_flag": (_raw_each(lambda: dict(certified=records.flag(F.col("dipp_certified")))), f"SELECT row_idx, {sql.flag('dipp_certified')} AS certified FROM ({raw.DERIVED_SQL.replace(' AS string', ' AS VARCHAR')})"),
-    "normalize_records": (lambda s, d: raw.normalize(raw.derived(s, d)), None),
+    "normalize_records": (lambda s, d: raw.normalize(raw.derived(s, d)), _NORMALIZED),
     "startups_only": (lambda s, d: raw.normalize(raw.derived(s, d), startups_only=True).select("row_idx", "role"), f"SELECT row_idx, {sql.label('role')} AS role FROM ({raw.DERIVED_SQL.replace(' AS string', ' AS VARCHAR')}) WHERE {sql.label('name')} IS NOT NULL AND lower({sql.label('role')}) = 'startup'"),
-    "shared_domains": (lambda s, d: linking.shared_domains(_records(s, d)), f"WITH {RECORDS} SELECT domain, n_names, n_cins FROM shared"),
-    "link_counts": (lambda s, d: linking.link_counts(_records(s, d)), f"WITH {RECORDS} SELECT kind, CAST(sum(n - 1) AS BIGINT) AS links FROM (SELECT kind, key, count(*) AS n FROM keys GROUP BY kind, key) GROUP BY kind"),
+    "shared_domains": (lambda s, d: linking.shared_domains(_kept_records(s, d)), f"WITH {RECORDS} SELECT domain, n_names, n_cins FROM shared"),
+    "link_counts": (lambda s, d: linking.link_counts(_kept_records(s, d)), f"WITH {RECORDS} SELECT kind, CAST(sum(n - 1) AS BIGINT) AS links FROM (SELECT kind, key, count(*) AS n FROM keys GROUP BY kind, key) GROUP BY kind"),
     "dedup_clusters": (lambda s, d: _clustered(s, d)[1], f"WITH RECURSIVE {CLUSTERS} SELECT row_idx, cluster FROM clusters"),
     "dedup_stats": (lambda s, d: linking.cluster_stats(*_clustered(s, d)), f"WITH RECURSIVE {CLUSTERS}, sizes AS (SELECT cluster, count(*) AS n FROM clusters GROUP BY cluster) SELECT CAST(sum(n) AS BIGINT) AS total_records, count(*) AS unique_companies, CAST(sum(n) - count(*) AS BIGINT) AS duplicates_removed, max(n) AS largest_cluster, (SELECT count(*) FROM shared) AS shared_domains FROM sizes"),
     "merge_companies": (_merged, MERGED),
     "company_ids": (_company_ids, f"WITH RECURSIVE {CLUSTERS} SELECT row_number() OVER (ORDER BY cluster) AS id, cluster FROM (SELECT DISTINCT cluster FROM clusters)"),
-    "latest_probes": (lambda s, d: _probes(s, d).withColumn("http_status", F.col("http_status").cast("string")), f"WITH {PROBES} SELECT * REPLACE (CAST(http_status AS VARCHAR) AS http_status) FROM probes"),
-    "latest_pages": (lambda s, d: _pages(s, d).withColumn("http_status", F.col("http_status").cast("string")), f"WITH {PAGES} SELECT * REPLACE (CAST(http_status AS VARCHAR) AS http_status) FROM pages"),
+    "latest_probes": (_probes, f"WITH {PROBES} SELECT * FROM probes"),
+    "latest_pages": (_pages, f"WITH {PAGES} SELECT * FROM pages"),
     "probe_worklist": (lambda s, d: _work(s, d, "probe"), f"SELECT id AS company_id, domain FROM (SELECT id, {sql.domain('website')} AS domain FROM companies) WHERE domain IS NOT NULL AND id NOT IN (SELECT company_id FROM website_probes WHERE company_id IS NOT NULL AND checked_at < TIMESTAMP '2026-01-01')"),
     "crawl_worklist": (lambda s, d: _work(s, d, "crawl"), f"WITH {PROBES} SELECT company_id, final_url FROM probes WHERE alive AND final_url IS NOT NULL AND company_id NOT IN (SELECT company_id FROM crawled_pages WHERE company_id IS NOT NULL)"),
     "extract_worklist": (lambda s, d: _work(s, d, "extract"), "SELECT DISTINCT company_id FROM crawled_pages WHERE stored_path IS NOT NULL AND company_id NOT IN (SELECT company_id FROM company_enrichment WHERE company_id IS NOT NULL)"),
-    "sampled_worklist": (_sample_work, None),
+    "sampled_worklist": (_sample_work, f"WITH {PROBES} SELECT company_id, final_url FROM probes WHERE alive AND final_url IS NOT NULL AND company_id NOT IN (SELECT company_id FROM crawled_pages WHERE company_id IS NOT NULL) ORDER BY md5('7:' || company_id), company_id LIMIT 50"),
     "first_worklist": (lambda s, d: _work(s, d, "probe").orderBy("company_id").limit(500), f"SELECT id AS company_id, domain FROM (SELECT id, {sql.domain('website')} AS domain FROM companies) WHERE domain IS NOT NULL AND id NOT IN (SELECT company_id FROM website_probes WHERE company_id IS NOT NULL AND checked_at < TIMESTAMP '2026-01-01') ORDER BY id LIMIT 500"),
     "company_facts": (_facts, f"WITH {PROBES} SELECT c.id AS company_id, c.website IS NOT NULL AS has_website, coalesce(p.alive, false) AS alive, coalesce(p.https_ok, false) AS https, EXISTS (SELECT 1 FROM company_enrichment e WHERE e.company_id = c.id AND e.description IS NOT NULL) AS has_description, EXISTS (SELECT 1 FROM crawled_pages g WHERE g.company_id = c.id AND g.page_type = 'contact' AND g.stored_path IS NOT NULL) AS contact_page, (SELECT count(DISTINCT s.startup_india_id) FROM company_sources s WHERE s.company_id = c.id) AS n_sources FROM companies c LEFT JOIN probes p ON p.company_id = c.id"),
     "weighted_facts": (lambda s, d: weighted_facts(_facts(s, d), EVEN).select("company_id", "score", F.size("breakdown").alias("n_true")), f"WITH {PROBES}, f AS (SELECT c.id AS company_id, CAST(c.website IS NOT NULL AS INT) + CAST(coalesce(p.alive, false) AS INT) + CAST(coalesce(p.https_ok, false) AS INT) + CAST(EXISTS (SELECT 1 FROM company_enrichment e WHERE e.company_id = c.id AND e.description IS NOT NULL) AS INT) + CAST(EXISTS (SELECT 1 FROM crawled_pages g WHERE g.company_id = c.id AND g.page_type = 'contact' AND g.stored_path IS NOT NULL) AS INT) AS n FROM companies c LEFT JOIN probes p ON p.company_id = c.id) SELECT company_id, least(100, 10 * n) AS score, n AS n_true FROM f"),
@@ -375,22 +385,23 @@ CATALOGUE: dict[str, tuple[Query, str | None]] = {
     "orphans": (_orphans, " UNION ALL ".join(f"SELECT '{t}' AS child, count(*) AS orphans FROM {t} WHERE company_id IS NULL OR company_id NOT IN (SELECT id FROM companies)" for t in ("company_sources", "website_probes", "company_enrichment", "crawled_pages"))),
     "insert_absent": (_sources_upsert, "SELECT DISTINCT company_id, startup_india_id FROM company_sources WHERE company_id % 2 = 0 OR startup_india_id IS NOT NULL UNION ALL SELECT DISTINCT company_id, startup_india_id FROM company_sources WHERE startup_india_id IS NULL"),
     "upsert_last": (_probe_upsert, f"WITH {PROBES} SELECT company_id, alive, CASE WHEN NOT alive THEN 0 ELSE http_status END AS http_status, CASE WHEN NOT alive THEN 'gone' ELSE title END AS title FROM probes"),
-    "update_status": (_probe_status, f"WITH {PROBES} SELECT company_id, CAST(http_status AS VARCHAR) AS http_status, CASE WHEN http_status >= 400 THEN 'unreachable' ELSE title END AS title FROM probes"),
+    "update_status": (_probe_status, f"WITH {PROBES} SELECT company_id, http_status, CASE WHEN http_status >= 400 THEN 'unreachable' ELSE title END AS title FROM probes"),
     "page_titles": (lambda s, d: table(s, d, "page_store").select("stored_path", web.title(F.col("html")).alias("title")), r"SELECT stored_path, nullif(substr(trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')), 1, 300), '') AS title FROM page_store"),
     "page_emails": (_page_emails, EMAILS_SQL),
     "page_facts": (_page_facts, None),
-    "page_links": (_page_links, None),
+    "page_links": (_page_links, _LINKS_SQL),
     "technologies": (_technologies, f"WITH {WRAPPED}, signs AS (SELECT unnest([{_TECH}]) AS s), hits AS (SELECT company_id, s[1] AS technology, list_filter(s[2], lambda n: contains(lower(html), n)) AS found FROM wrapped, signs) SELECT DISTINCT company_id, technology, found[1] AS evidence FROM hits WHERE len(found) > 0"),
     "page_phones": (_page_phones, PHONES_SQL),
     "page_socials": (_socials, _social_sql()),
     "hosting": (_hosting, f"WITH {PROBES} SELECT company_id, CASE {_HOSTING_CASES} ELSE nullif(trim(split_part(split_part(server_header, '/', 1), '(', 1)), '') END AS hosting_provider FROM (SELECT *, lower(coalesce(server_header, '')) AS hay FROM probes)"),
     "shard_paths": (_each("companies", "id", lambda: dict(path=pages.stored_path(urls.domain(F.col("website")), F.lit("home")))), f"SELECT id, concat_ws('/', substr(sha1(d), 1, 2), regexp_replace(d, '[^a-z0-9.\\-]', '_', 'g'), 'home.html.gz') AS path FROM (SELECT id, {sql.domain('website')} AS d FROM companies)"),
-    "founded_years": (_each("company_enrichment", "company_id", lambda: dict(year=web.founded_year(F.col("description"), 2026).cast("string"))), r"SELECT company_id, CASE WHEN y BETWEEN 1900 AND 2026 THEN CAST(y AS VARCHAR) END AS year FROM (SELECT company_id, try_cast(regexp_extract(description, '(?i)(?:founded|established|est\.?|since|inception|incorporated)[^0-9]{0,20}(19\d{2}|20\d{2})', 1) AS INT) AS y FROM company_enrichment)"),
+    "founded_years": (_each("company_enrichment", "company_id", lambda: dict(year=web.founded_year(F.col("description"), 2026))), r"SELECT company_id, CASE WHEN y BETWEEN 1900 AND 2026 THEN y END AS year FROM (SELECT company_id, try_cast(regexp_extract(description, '(?i)(?:founded|established|est\.?|since|inception|incorporated)[^0-9]{0,20}(19\d{2}|20\d{2})', 1) AS INT) AS y FROM company_enrichment)"),
     "staff_phrases": (_each("company_enrichment", "company_id", lambda: dict(phrase=web.staff_phrase(F.col("description")))), r"SELECT company_id, coalesce(nullif(trim(regexp_extract(description, '(?i)(?:\d{1,3}(?:,\d{3})*|\d+)\s*\+?\s*(?:employees|team members|people|professionals)', 0)), ''), nullif(trim(regexp_extract(description, '(?i)team of\s+(?:\d{1,3}(?:,\d{3})*|\d+)\+?', 0)), '')) AS phrase FROM company_enrichment"),
-    "company_keywords": (_company_keywords, None),
+    "company_keywords": (_company_keywords, _KEYWORDS_SQL),
     "keywords": (_keywords, r"WITH last AS (SELECT company_id, description FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY updated_at DESC, description DESC) AS k FROM company_enrichment WHERE description IS NOT NULL) WHERE k = 1), t AS (SELECT company_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM (SELECT company_id, regexp_extract_all(lower(description), '[a-z][a-z0-9\-]{3,}') AS w FROM last)), c AS (SELECT company_id, word, count(*) AS n, min(pos) AS pos FROM t GROUP BY company_id, word), r AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY n DESC, pos) AS k FROM c) SELECT company_id, string_agg(word, ' ' ORDER BY k) AS keywords FROM r WHERE k <= 8 GROUP BY company_id"),
     "incremental_domains": (incremental.domains_in_steps, f"SELECT id, {sql.domain('website')} AS domain FROM companies"),
 }
+CATALOGUE |= captured.catalogue()
 
 
 def queries() -> dict[str, Query]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.dictionaries import CITY_ALIASES, GENERIC_DOMAINS, GENERIC_NAME_KEYS, KEY_SUFFIX_REWRITES, NULL_TOKENS, SMALL_WORDS, STATE_ALIASES
+from ledgerloom.dictionaries import CITY_ALIASES, GENERIC_DOMAINS, GENERIC_NAME_KEYS, KEY_SUFFIX_REWRITES, NULL_TOKENS, SMALL_WORDS, STATE_ALIASES, SUFFIX_DISPLAY
 
 
 def words(values) -> str:
@@ -118,3 +118,15 @@ def registration_date(x: str, epoch: str) -> str:
     tries = ", ".join(f"CASE WHEN NOT {blank(x)} AND regexp_full_match({t}, '{form}') THEN try_strptime({t}, '{pattern}') END" for form, pattern in forms)
     ms = f"CASE WHEN NOT {blank(epoch)} THEN try_cast({strip(epoch)} AS DOUBLE) END"
     return f"strftime(coalesce({tries}, CASE WHEN abs({ms}) < 2.5e14 THEN make_timestamp(CAST(trunc({ms}) AS BIGINT) * 1000) END), '%Y-%m-%d')"
+
+
+def display_name(x: str) -> str:
+    """The display form of a name; title case letter by letter."""
+    name = label(x)
+    chars = f"string_split({name}, '')"
+    titled = rf"array_to_string(list_transform({chars}, lambda c, i: CASE WHEN i > 1 AND regexp_matches(({chars})[i - 1], '\p{{L}}') THEN lower(c) ELSE upper(c) END), '')"
+    shown = f"CASE WHEN upper({name}) = {name} AND lower({name}) <> {name} THEN {titled} ELSE {name} END"
+    shown = rf"regexp_replace({shown}, '(?i)\b(pvt|ltd)\.(\w)', '\1' || chr(1) || '\2', 'g')"
+    for words_, form in SUFFIX_DISPLAY.items():
+        shown = rf"regexp_replace({shown}, '(?i)\b{words_}\b', '{form}', 'g')"
+    return f"replace({shown}, chr(1), '')"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ledgerloom.functions import names, places, records, urls
 from ledgerloom.sources.tables import table
@@ -48,15 +49,11 @@ def read_csv(spark: SparkSession, path: str, limit: int | None = None) -> DataFr
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in CSV_COLUMNS])
     rows = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("encoding", "UTF-8").schema(schema).csv(path)
-    # places in the order of files and splits: the high bits of the id are the partition, so counts before it make it dense
-    rows = rows.withColumn("_id", F.monotonically_increasing_id())
-    part = F.shiftright("_id", 33)
-    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("n"))
-    from pyspark.sql.window import Window
-
-    starts = sizes.select("_part", (F.sum("n").over(Window.orderBy("_part")) - F.col("n")).alias("_start"))
-    indexed = rows.withColumn("_part", part).join(F.broadcast(starts), "_part").withColumn("row_idx", F.col("_start") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
-    indexed = indexed.drop("_id", "_part", "_start")
+    # places in the order of file names: within a file ids grow, and counts of the files before make them dense
+    rows = rows.withColumn("_id", F.monotonically_increasing_id()).withColumn("_file", F.col("_metadata.file_path")).withColumn("_at", F.col("_metadata.file_block_start"))
+    sizes = rows.groupBy("_file", "_at").agg(F.count("*").alias("n"), F.min("_id").alias("_first"))
+    starts = sizes.select("_file", "_at", "_first", (F.sum("n").over(Window.orderBy("_file", "_at")) - F.col("n")).alias("_start"))
+    indexed = rows.join(F.broadcast(starts), ["_file", "_at"]).withColumn("row_idx", F.col("_start") + F.col("_id") - F.col("_first")).drop("_id", "_file", "_at", "_start", "_first")
     indexed = indexed.withColumnsRenamed({"industries": "industries", "registeredOn": "registered_on", "registration date": "registration_date_raw", "dippCertified": "dipp_certified", "companyStatus": "company_status", "contactNumber": "contact_number"})
     return indexed if limit is None else indexed.where(F.col("row_idx") < limit)
 

@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import names, places, records, urls, web
+from ledgerloom.functions import completions, mail, names, places, records, urls, web
 
 
 def one(spark, make, *values):
@@ -102,7 +102,11 @@ def test_page_text_facts(spark):
 
 
 def test_technologies_and_hosting(spark):
-    assert one(spark, web.technologies, '<link href="/wp-content/x.css"><script src="/_next/static/a.js">') == ["WordPress:/wp-content/", "Next.js:/_next/static"]
+    assert one(spark, web.technologies, '<link href="/wp-content/x.css"><script src="/_next/static/a.js">') == [("WordPress", "cms", "/wp-content/"), ("Next.js", "js-framework", "/_next/static")]
+    ids = lambda x: {t.technology: t.evidence for t in one(spark, web.technologies, x)}
+    assert ids("gtag( UA-12345-1 GTM-ABCD") == {"Google Analytics": "UA-12345-1", "Google Tag Manager": "gtm-"} and ids("<i>GTM-ABCD</i>") == {"Google Tag Manager": "GTM-ABCD"} and ids("") == {}
+    heads = spark.createDataFrame([("laravel", "cloudflare-x", "PHP/8 Express")], "h string, s string, p string").select(web.technologies(F.col("h"), F.col("s"), F.col("p")).alias("t")).first().t
+    assert [tuple(x) for x in heads] == [("Cloudflare", "cdn", "server: cloudflare"), ("Laravel", "backend", "laravel"), ("PHP", "backend", "x-powered-by: php/8 express"), ("Express", "backend", "x-powered-by: php/8 express")]
     make = lambda s: web.hosting(F.array(F.lit("185.199.108.153")), F.array().cast("array<string>"), F.lit(None).cast("string"), s)
     assert one(spark, make, "nginx/1.18") == "GitHub Pages"
     make = lambda s: web.hosting(F.array().cast("array<string>"), F.array(F.lit("kate.ns.cloudflare.com")), F.lit(None).cast("string"), s)
@@ -129,4 +133,35 @@ def test_read_page():
     r = web.read_page(html)
     assert r.metas["property:og:site_name"] == "Acme" and r.touch == "/t.png" and r.links == [["/about", "About us"]] and r.text == ["About", "us", "Hello"]
     assert web._organization(r.data) == {"name": "N", "year": 2018, "address": "S, 1"}
-    assert web.page_types("https://acme.com/contact-us", "Reach", "acme.com") == ["contact"] and web.page_types("https://evil.com/contact", "", "acme.com") == []
+
+
+def test_page_discovery(spark):
+    html = """<a href="/about">Us</a> <a href='x'>no</a> <a class="b" href="https://www.acme.com/contact-us">Reach</a><a href="https://evil.com/careers">Jobs</a><a href="https://acme.com.evil.com/team">T</a>
+    <a href="mailto:blog@acme.com">m</a><a href="#terms">t</a><a href="http://[bad">privacy</a><a href="news">n</a><a href="/about-2">About</a>"""
+    homes = spark.createDataFrame([(1, html, "https://acme.com/", "acme.com"), (2, None, "https://b.in/", "b.in")], "k long, html string, url string, root string")
+    assert {tuple(r) for r in web.discovered(homes, "k", "html", "url", "root").collect()} == {(1, "about", "https://acme.com/about"), (1, "contact", "https://www.acme.com/contact-us"), (1, "blog", "https://acme.com/news")}
+
+
+@pytest.mark.parametrize("base, href, want", [("https://a.in", "b", "https://a.in/b"), ("https://a.in/x/y?z=/q", "b", "https://a.in/x/b"), ("https://a.in/x/", "/b", "https://a.in/b"), ("http://a.in/x", "//c.in/d", "http://c.in/d"), ("https://a.in", "tel:1", "tel:1")])
+def test_links_are_joined(spark, base, href, want):
+    assert one(spark, urls.join, base, href) == want
+
+
+def test_addresses_and_answers(spark):
+    assert [one(spark, mail.valid_syntax, x) for x in ("a@b.com", "not-an-email", "a@@b.com", None, "a" * 250 + "@b.com")] == [True, False, False, False, False]
+    assert one(spark, lambda x: mail.is_disposable(mail.host(x)), "x@Mailinator.com") and not one(spark, lambda x: mail.is_disposable(mail.host(x)), "x@acme.com")
+    assert one(spark, mail.tokens, "Careers.pune_7@x.in") == ["careers", "pune", ""] and one(spark, mail.tokens, "care12@x.in") == ["care"]
+    codes = spark.createDataFrame([(250,), (251,), (550,), (451,), (None,)], "c int")
+    assert [r[0] for r in codes.select(mail.accepted(F.col("c"))).collect()] == [True, True, False, False, False]
+
+
+@pytest.mark.parametrize("text, want", [('```json\n{"a": 1}\n```', '{"a": 1}'), ('so {"a": {"b": 2}} it is', '{"a": {"b": 2}}'), ("none", None), ('{"a": ', None), ("}{", None), (None, None), ("", None)])
+def test_json_of_answers(spark, text, want):
+    assert one(spark, completions.json_text, text) == want
+
+
+def test_short_descriptions(spark):
+    make = lambda *x: one(spark, completions.short_description, *x)
+    assert make(None, "Acme", None, "Pune", "Scaling") == "Acme is a scaling-stage technology company based in Pune." and make("", None, None, None, None) is None
+    assert make("a  b", "x", None, None, None) == "a b" and make("word " * 60, "x", None, None, None) == ("word " * 40).strip() and make("y" * 300, "x", None, None, None) == "y" * 200
+    assert one(spark, lambda t: completions.signs(t, ["shop", "b2c", "kirana"]), "Shop shop Kirana") == 2

@@ -1,10 +1,11 @@
 """Linking, merging, upserts and sources on small tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import linking, merging
 from ledgerloom.operators.skew import join_by_key
-from ledgerloom.sources import pages, raw
+from ledgerloom.sources import captures, pages, raw
 from ledgerloom.streaming.incremental import work_off
 
 SCHEMA = "row_idx long, startup_india_id string, name string, name_key string, website string, domain string, industry string, sector string, stage string, city string, state string, registration_date string, cin string, dpiit boolean, status string, phone string, role string"
@@ -87,6 +88,52 @@ def test_csv_keeps_order_and_quoted_breaks(spark, tmp_path):
     assert raw.normalize(rows).count() == 2 and raw.normalize(rows, startups_only=True).count() == 1
 
 
+def test_csv_files_count_in_the_order_of_their_names(spark, tmp_path):
+    head = ",".join(raw.CSV_COLUMNS) + "\n"
+    for name, ids in (("c", range(4, 6)), ("a", range(0, 3)), ("b", range(3, 4))):
+        (tmp_path / f"{name}.csv").write_text(head + "".join(f"N{i},{i}" + "," * 13 + "\n" for i in ids))
+    assert [(r.row_idx, r.id) for r in raw.read_csv(spark, str(tmp_path)).orderBy("row_idx").collect()] == [(i, str(i)) for i in range(6)]
+
+
+def test_robots_texts(spark):
+    urls = spark.createDataFrame([(1, "https://a.in/"), (1, "https://a.in/privacy/x"), (2, "https://b.in/"), (3, "https://c.in/"), (4, "https://d.in/")], "k long, url string")
+    robots = spark.createDataFrame([(1, "User-agent: *\nDisallow: /privacy"), (2, "User-agent: *\nDisallow: /"), (3, "User-agent: other\nDisallow: /\n\nUser-agent: *\nDisallow:"), (4, None)], "k long, robots string")
+    assert sorted(r.url for r in captures.allowed(urls, robots, "k", "url", "robots").collect()) == ["https://a.in/", "https://c.in/", "https://d.in/"]
+
+
+def test_tables_are_created_guarded_and_compared(spark, tmp_path):
+    from ledgerloom.plans import captured
+
+    assert captured.guard_rebuild(spark, str(tmp_path)) == 0
+    captures.reset(spark, str(tmp_path))
+    assert captured.guard_rebuild(spark, str(tmp_path)) == 0
+    spark.createDataFrame([(1, "SI1")], captures.SCHEMAS["company_sources"]).write.mode("overwrite").parquet(f"{tmp_path}/company_sources.parquet")
+    with pytest.raises(RuntimeError):
+        captured.guard_rebuild(spark, str(tmp_path))
+    assert captured.guard_rebuild(spark, str(tmp_path), force=True) == 1
+    assert captured.changed({"a": 1}, {"a": 2}) and captured.changed({}, {"a": 0}) and not captured.changed({"a": 1}, {"a": 1})
+
+
+def test_components_equal_union_find(spark):
+    import random
+
+    rng = random.Random(3)
+    links = [(rng.randrange(150), rng.randrange(150)) for _ in range(90)] + [(500 + i, 501 + i) for i in range(60)]
+    top = {}
+
+    def find(x):
+        while top.setdefault(x, x) != x:
+            x = top[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        top[b] = a
+    linked = {x for a, b in links if a != b for x in (a, b)}
+    assert dict(map(tuple, linking.components(spark.createDataFrame(links, "u long, v long")).collect())) == {x: find(x) for x in linked}
+    assert linking.components(spark.createDataFrame([(1, 1)], "u long, v long")).count() == 0
+
+
 def test_stored_pages_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([("acme.in", "<p>नमस्ते</p>"), ("b_c.in", "x")], "d string, html string").select(pages.stored_path(F.col("d"), F.lit("home")).alias("stored_path"), "html")
     assert pages.write_stored(rows, str(tmp_path)).count() == 2
@@ -122,4 +169,4 @@ def test_company_keywords(spark, monkeypatch):
     }
     monkeypatch.setattr(catalogue, "table", lambda s, f, name: tables[name])
     monkeypatch.setattr(catalogue, "_technologies", lambda *_: spark.createDataFrame([(1, "WordPress"), (1, "jQuery")], "company_id long, technology string"))
-    assert dict(map(tuple, catalogue._company_keywords(spark, "").collect())) == {1: ["Logistics", "Freight", "WordPress", "cargo", "move", "barges"], 2: []}
+    assert dict(map(tuple, catalogue._company_keywords(spark, "").collect())) == {1: "Logistics,Freight,WordPress,cargo,move,barges", 2: ""}
