@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerloom.session import Kept
+
 FIELDS = ("startup_india_id", "name", "website", "domain", "industry", "sector", "stage", "city", "state", "registration_date", "cin", "status", "phone", "role")
 
 
@@ -13,25 +15,29 @@ def merge_clusters(records: DataFrame, found: DataFrame) -> DataFrame:
     """One row a cluster: the fullest record's fields, gaps filled from the others in their order.
 
     Of equally full records one with a registration number, then one with recognition, then the first counts. The earliest
-    date wins over the fullest record's. ``source_ids`` holds the ids in record order. Every step is an aggregate with
-    partial sums, so a cluster of any size needs no task of its own but for its list of ids.
+    date wins over the fullest record's. Every step is an aggregate with partial sums, so a cluster of any size needs no task
+    of its own; its ids are rows of ``cluster_sources``.
     """
     full = sum((F.col(c).isNotNull().cast("int") for c in FIELDS), F.lit(0))
     rank = F.struct(full.alias("full"), F.col("cin").isNotNull().cast("int").alias("cin"), F.coalesce("dpiit", F.lit(False)).cast("int").alias("dpiit"), (-F.col("row_idx")).alias("first"))
     rows = records.join(found, "row_idx")
     best = [F.max_by(F.struct(F.col(c)), rank).getField(c).alias(f"best_{c}") for c in FIELDS]
     first = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col("row_idx"))).alias(f"first_{c}") for c in FIELDS]
-    ids = F.array_sort(F.collect_list(F.when(F.col("startup_india_id").isNotNull(), F.struct("row_idx", "startup_india_id"))))
-    merged = rows.groupBy("cluster").agg(*best, *first, F.bool_or(F.coalesce("dpiit", F.lit(False))).alias("dpiit"), F.min("registration_date").alias("first_date"), ids.alias("ids"), F.count("*").alias("duplicate_count"))
+    merged = rows.groupBy("cluster").agg(*best, *first, F.bool_or(F.coalesce("dpiit", F.lit(False))).alias("dpiit"), F.min("registration_date").alias("first_date"), F.count("startup_india_id").alias("source_count"), F.count("*").alias("duplicate_count"))
     fields = [F.coalesce(f"best_{c}", f"first_{c}").alias(c) for c in FIELDS if c != "registration_date"]
-    return merged.select("cluster", *fields, F.col("first_date").alias("registration_date"), F.col("dpiit").alias("dpiit_certified"), F.transform("ids", lambda x: x.startup_india_id).alias("source_ids"), "duplicate_count")
+    return merged.select("cluster", *fields, F.col("first_date").alias("registration_date"), F.col("dpiit").alias("dpiit_certified"), "source_count", "duplicate_count")
+
+
+def cluster_sources(records: DataFrame, found: DataFrame) -> DataFrame:
+    """(cluster, startup_india_id) of each id a cluster's records have, once."""
+    return records.where("startup_india_id is not null").select("row_idx", "startup_india_id").join(found, "row_idx").select("cluster", "startup_india_id").distinct()
 
 
 def with_dense_ids(merged: DataFrame, after: int = 0) -> DataFrame:
-    """``id`` from after + 1 on in the order of the clusters' first records; ids are dense, so two passes count and place them."""
+    """``id`` from after + 1 on in the order of the clusters' first records; ids are dense, so two passes over the same written ranges count and place them."""
     spark = merged.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = merged.repartitionByRange(n, "cluster").withColumn("part", F.spark_partition_id())
+    ranged = Kept(spark).keep(merged.repartitionByRange(n, "cluster").withColumn("part", F.spark_partition_id()), "ranged")
     sizes = ranged.groupBy("part").agg(F.count("*").alias("n"))
     starts = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("start"))
     placed = ranged.join(F.broadcast(starts), "part")

@@ -73,8 +73,7 @@ clusters AS MATERIALIZED (SELECT row_idx, coalesce(c, row_idx) AS cluster FROM r
 
 
 def _merged(spark: SparkSession, folder: str) -> DataFrame:
-    merged = merging.merge_clusters(*_clustered(spark, folder))
-    return merged.withColumn("source_ids", F.array_join("source_ids", ",")).withColumn("duplicate_count", F.col("duplicate_count").cast("long"))
+    return merging.merge_clusters(*_clustered(spark, folder))
 
 
 _FULL = " + ".join(f"CAST({c} IS NOT NULL AS INT)" for c in merging.FIELDS)
@@ -82,7 +81,7 @@ _BEST = ", ".join(f"coalesce(first(r.{c} ORDER BY full_n DESC, has_cin DESC, has
 MERGED = f"""WITH RECURSIVE {CLUSTERS},
 ranked AS (SELECT r.*, cluster, {_FULL} AS full_n, CAST(cin IS NOT NULL AS INT) AS has_cin, CAST(coalesce(dpiit, false) AS INT) AS has_dpiit FROM records r JOIN clusters USING (row_idx))
 SELECT cluster, {_BEST}, min(registration_date) AS registration_date, bool_or(coalesce(dpiit, false)) AS dpiit_certified,
-  coalesce(string_agg(startup_india_id, ',' ORDER BY r.row_idx) FILTER (WHERE startup_india_id IS NOT NULL), '') AS source_ids, count(*) AS duplicate_count
+  count(startup_india_id) AS source_count, count(*) AS duplicate_count
 FROM ranked r GROUP BY cluster"""
 
 
@@ -154,11 +153,11 @@ def _page_type_tally(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _work(spark: SparkSession, folder: str, left: str) -> DataFrame:
-    """What a step has left to do: companies to probe that weren't before 2026, live sites to crawl, captures to extract from."""
+    """What a step has left to do: companies to probe whose site never answered, live sites to crawl, captures to extract from."""
     companies = table(spark, folder, "companies").select(F.col("id").alias("company_id"), urls.domain(F.col("website")).alias("domain"))
     probes = table(spark, folder, "website_probes")
     if left == "probe":
-        return merging.work_list(companies.where("domain is not null"), probes.where("checked_at < timestamp'2026-01-01'"), "company_id").select("company_id", "domain")
+        return merging.work_list(companies.where("domain is not null"), probes.where("alive"), "company_id").select("company_id", "domain")
     if left == "crawl":
         alive = _probes(spark, folder).where("alive and final_url is not null").select("company_id", "final_url")
         return merging.work_list(alive, table(spark, folder, "crawled_pages"), "company_id")
@@ -369,14 +368,15 @@ CATALOGUE: dict[str, tuple[Query, str | None]] = {
     "dedup_clusters": (lambda s, d: _clustered(s, d)[1], f"WITH RECURSIVE {CLUSTERS} SELECT row_idx, cluster FROM clusters"),
     "dedup_stats": (lambda s, d: linking.cluster_stats(*_clustered(s, d)), f"WITH RECURSIVE {CLUSTERS}, sizes AS (SELECT cluster, count(*) AS n FROM clusters GROUP BY cluster) SELECT CAST(sum(n) AS BIGINT) AS total_records, count(*) AS unique_companies, CAST(sum(n) - count(*) AS BIGINT) AS duplicates_removed, max(n) AS largest_cluster, (SELECT count(*) FROM shared) AS shared_domains FROM sizes"),
     "merge_companies": (_merged, MERGED),
+    "merged_sources": (lambda s, d: merging.cluster_sources(*_clustered(s, d)), f"WITH RECURSIVE {CLUSTERS} SELECT DISTINCT cluster, startup_india_id FROM records JOIN clusters USING (row_idx) WHERE startup_india_id IS NOT NULL"),
     "company_ids": (_company_ids, f"WITH RECURSIVE {CLUSTERS} SELECT row_number() OVER (ORDER BY cluster) AS id, cluster FROM (SELECT DISTINCT cluster FROM clusters)"),
     "latest_probes": (_probes, f"WITH {PROBES} SELECT * FROM probes"),
     "latest_pages": (_pages, f"WITH {PAGES} SELECT * FROM pages"),
-    "probe_worklist": (lambda s, d: _work(s, d, "probe"), f"SELECT id AS company_id, domain FROM (SELECT id, {sql.domain('website')} AS domain FROM companies) WHERE domain IS NOT NULL AND id NOT IN (SELECT company_id FROM website_probes WHERE company_id IS NOT NULL AND checked_at < TIMESTAMP '2026-01-01')"),
+    "probe_worklist": (lambda s, d: _work(s, d, "probe"), f"SELECT id AS company_id, domain FROM (SELECT id, {sql.domain('website')} AS domain FROM companies) WHERE domain IS NOT NULL AND id NOT IN (SELECT company_id FROM website_probes WHERE company_id IS NOT NULL AND alive)"),
     "crawl_worklist": (lambda s, d: _work(s, d, "crawl"), f"WITH {PROBES} SELECT company_id, final_url FROM probes WHERE alive AND final_url IS NOT NULL AND company_id NOT IN (SELECT company_id FROM crawled_pages WHERE company_id IS NOT NULL)"),
     "extract_worklist": (lambda s, d: _work(s, d, "extract"), "SELECT DISTINCT company_id FROM crawled_pages WHERE stored_path IS NOT NULL AND company_id NOT IN (SELECT company_id FROM company_enrichment WHERE company_id IS NOT NULL)"),
     "sampled_worklist": (_sample_work, f"WITH {PROBES} SELECT company_id, final_url FROM probes WHERE alive AND final_url IS NOT NULL AND company_id NOT IN (SELECT company_id FROM crawled_pages WHERE company_id IS NOT NULL) ORDER BY md5('7:' || company_id), company_id LIMIT 50"),
-    "first_worklist": (lambda s, d: _work(s, d, "probe").orderBy("company_id").limit(500), f"SELECT id AS company_id, domain FROM (SELECT id, {sql.domain('website')} AS domain FROM companies) WHERE domain IS NOT NULL AND id NOT IN (SELECT company_id FROM website_probes WHERE company_id IS NOT NULL AND checked_at < TIMESTAMP '2026-01-01') ORDER BY id LIMIT 500"),
+    "first_worklist": (lambda s, d: _work(s, d, "probe").orderBy("company_id").limit(500), f"SELECT id AS company_id, domain FROM (SELECT id, {sql.domain('website')} AS domain FROM companies) WHERE domain IS NOT NULL AND id NOT IN (SELECT company_id FROM website_probes WHERE company_id IS NOT NULL AND alive) ORDER BY id LIMIT 500"),
     "company_facts": (_facts, f"WITH {PROBES} SELECT c.id AS company_id, c.website IS NOT NULL AS has_website, coalesce(p.alive, false) AS alive, coalesce(p.https_ok, false) AS https, EXISTS (SELECT 1 FROM company_enrichment e WHERE e.company_id = c.id AND e.description IS NOT NULL) AS has_description, EXISTS (SELECT 1 FROM crawled_pages g WHERE g.company_id = c.id AND g.page_type = 'contact' AND g.stored_path IS NOT NULL) AS contact_page, (SELECT count(DISTINCT s.startup_india_id) FROM company_sources s WHERE s.company_id = c.id) AS n_sources FROM companies c LEFT JOIN probes p ON p.company_id = c.id"),
     "weighted_facts": (lambda s, d: weighted_facts(_facts(s, d), EVEN).select("company_id", "score", F.size("breakdown").alias("n_true")), f"WITH {PROBES}, f AS (SELECT c.id AS company_id, CAST(c.website IS NOT NULL AS INT) + CAST(coalesce(p.alive, false) AS INT) + CAST(coalesce(p.https_ok, false) AS INT) + CAST(EXISTS (SELECT 1 FROM company_enrichment e WHERE e.company_id = c.id AND e.description IS NOT NULL) AS INT) + CAST(EXISTS (SELECT 1 FROM crawled_pages g WHERE g.company_id = c.id AND g.page_type = 'contact' AND g.stored_path IS NOT NULL) AS INT) AS n FROM companies c LEFT JOIN probes p ON p.company_id = c.id) SELECT company_id, least(100, 10 * n) AS score, n AS n_true FROM f"),
     "row_counts": (_counts, "SELECT " + ", ".join(f"(SELECT count(*) FROM {t}) AS {t}" for t in ("website_probes", "crawled_pages", "company_enrichment", "company_sources", "companies"))),

@@ -51,7 +51,8 @@ def test_merge_prefers_the_fullest_then_fills_gaps(spark):
     got = merging.merge_clusters(rows, linking.clusters(rows)).collect()
     assert len(got) == 1
     m = got[0]
-    assert (m.city, m.phone, m.role, m.registration_date, m.startup_india_id, m.dpiit_certified, m.source_ids, m.duplicate_count) == ("Agra", "+918", "x", "2019-01-01", "B", True, ["B"], 3)
+    assert (m.city, m.phone, m.role, m.registration_date, m.startup_india_id, m.dpiit_certified, m.source_count, m.duplicate_count) == ("Agra", "+918", "x", "2019-01-01", "B", True, 1, 3)
+    assert [tuple(r) for r in merging.cluster_sources(rows, linking.clusters(rows)).collect()] == [(m.cluster, "B")]
 
 
 def test_merge_tie_goes_to_the_first_record(spark):
