@@ -64,6 +64,11 @@ def insert_absent(old: DataFrame, new: DataFrame, keys: list[str], order: Column
     return old.unionByName(first.join(old.select(*keys), keys, "left_anti").select(*old.columns))
 
 
+def refresh(old: DataFrame, new: DataFrame, keys: list[str], full: bool = False) -> DataFrame:
+    """Values made anew: those of keys that have none yet are added, or in full all are replaced."""
+    return upsert(old, new, keys) if full else old.unionByName(new.join(old.select(*keys), keys, "left_anti").select(*old.columns))
+
+
 def set_status(rows: DataFrame, updates: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Columns of single rows changed by key; rows without update stay."""
     marked = updates.select(key, *(F.col(c).alias(f"new_{c}") for c in columns), F.lit(True).alias("_hit"))

@@ -322,6 +322,17 @@ SELECT company_id, CASE WHEN description <> '' THEN CASE WHEN length(d) > 200 TH
   ELSE replace(name || ' is a ' || coalesce(lower(stage) || '-stage ', '') || coalesce(industry, 'technology') || ' company' || coalesce(' based in ' || city, '') || '.', '  ', ' ') END AS short_description,
   CAST(list_sum(list_transform(['shop', 'store', 'retail', 'customers', 'orders'], lambda w: CAST(contains(lower(coalesce(description, '')), w) AS INT))) AS INT) AS n_signs FROM c"""
 
+PAYLOAD = ("name", "industry", "sector", "stage", "city", "state", "website")
+
+
+def _payloads(spark: SparkSession, folder: str) -> DataFrame:
+    """What a completion service is told of each company: the fields it has, as JSON."""
+    fields = [F.when(F.col(c) != "", F.col(c)).alias(c) for c in PAYLOAD]
+    return table(spark, folder, "companies").select(F.col("id").alias("company_id"), F.to_json(F.struct(*fields)).alias("payload"))
+
+
+PAYLOADS_SQL = "SELECT id AS company_id, '{' || concat_ws(',', " + ", ".join(f"""CASE WHEN {c} <> '' THEN '"{c}":' || CAST(to_json({c}) AS VARCHAR) END""" for c in PAYLOAD) + ") || '}' AS payload FROM companies"
+
 # tables ---------------------------------------------------------------------
 
 
@@ -377,6 +388,15 @@ _RAW = raw.DERIVED_SQL.replace(" AS string", " AS VARCHAR")
 CSV_SQL = f"SELECT row_number() OVER (ORDER BY row_idx) - 1 AS row_idx, * EXCLUDE (row_idx) FROM ({_RAW})"
 
 
+def _stored_again(spark: SparkSession, folder: str) -> DataFrame:
+    """Captured pages written as gzip files to the shared folder and read again."""
+    from ledgerloom.session import Kept
+
+    kept = Kept(spark)
+    pages.write_stored(table(spark, folder, "page_store"), f"{kept.root}/pages").agg(F.count("*")).collect()
+    return pages.read_stored(spark, f"{kept.root}/pages").select("stored_path", F.length("html").alias("n_chars"))
+
+
 def changed(before: dict[str, int], after: dict[str, int]) -> bool:
     """Whether a batch changed the number of rows of any table."""
     return any(after.get(k, 0) != n for k, n in before.items()) or bool(after.keys() - before.keys())
@@ -433,5 +453,7 @@ def catalogue() -> dict[str, tuple[Query, str | None]]:
         "dropped_records": (_dropped, f"SELECT count(*) AS raw, count(n) AS kept, count(*) - count(n) AS dropped FROM (SELECT {sql.label('name')} AS n FROM ({_RAW}))"),
         "csv_records": (_csv_records, CSV_SQL),
         "batch_changed": (_batch_changed, "SELECT *, before <> after AS changed FROM (SELECT count(*) FILTER (WHERE checked_at < TIMESTAMP '2026-01-01') AS before, count(*) AS after FROM website_probes)"),
+        "stored_again": (_stored_again, "SELECT stored_path, length(html) AS n_chars FROM page_store WHERE html IS NOT NULL"),
+        "prompt_payloads": (_payloads, PAYLOADS_SQL),
         "new_ids": (_new_ids, "SELECT (SELECT coalesce(max(id), 0) FROM companies) + row_number() OVER (ORDER BY domain) AS id, domain FROM (SELECT DISTINCT domain FROM website_probes WHERE domain IS NOT NULL)"),
     }

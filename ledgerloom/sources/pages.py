@@ -39,20 +39,25 @@ def read_stored(spark: SparkSession, root: str) -> DataFrame:
 
 
 def write_stored(pages: DataFrame, root: str) -> DataFrame:
-    """Writes (stored_path, html) as gzip files below ``root``, a folder all executors share; (stored_path, byte_size) of what was written."""
+    """Writes (stored_path, html) as gzip files below ``root``, a folder all executors reach (a path or the address of a shared file system);
+    (stored_path, byte_size) of what was written. A page written twice replaces itself."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
+        from pyarrow import fs
 
+        store, base = fs.FileSystem.from_uri(root)
+        made = set()
         for b in batches:
             out = []
             for path, html in zip(b.stored_path, b.html):
                 data = gzip.compress(html.encode("utf-8")[:MAX_BYTES], mtime=0)
-                full = os.path.join(root, path)
-                os.makedirs(os.path.dirname(full), exist_ok=True)
-                with open(f"{full}.part", "wb") as f:
+                folder, _, name = f"{base}/{path}".rpartition("/")
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(f"{folder}/.{name}.part") as f:
                     f.write(data)
-                os.replace(f"{full}.part", full)
+                store.move(f"{folder}/.{name}.part", f"{folder}/{name}")
                 out.append((path, len(data)))
             yield pd.DataFrame(out, columns=["stored_path", "byte_size"])
 

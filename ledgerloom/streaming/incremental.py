@@ -29,6 +29,17 @@ def work_off(spark: SparkSession, source: str, schema, make: Callable[[DataFrame
     return read
 
 
+def drain(phases: list[Callable[[], int]], rounds: int = 100) -> int:
+    """Runs phases one after the other, each of which returns how much it did, until a round does nothing; the sum. More rounds than allowed are an error."""
+    done = 0
+    for _ in range(rounds):
+        now = sum(phase() for phase in phases)
+        if not now:
+            return done
+        done += now
+    raise RuntimeError(f"work was left after {rounds} rounds")
+
+
 def domains_in_steps(spark: SparkSession, folder: str) -> DataFrame:
     """The hosts of companies, taken from files as a stream would bring them."""
     kept = Kept(spark)

@@ -135,6 +135,24 @@ def test_components_equal_union_find(spark):
     assert linking.components(spark.createDataFrame([(1, 1)], "u long, v long")).count() == 0
 
 
+def test_refresh_and_drain(spark):
+    from ledgerloom.streaming.incremental import drain
+
+    old, new = spark.createDataFrame([(1, 10)], "k long, v long"), spark.createDataFrame([(1, 11), (2, 20)], "k long, v long")
+    assert sorted(map(tuple, merging.refresh(old, new, ["k"]).collect())) == [(1, 10), (2, 20)]
+    assert sorted(map(tuple, merging.refresh(old, new, ["k"], full=True).collect())) == [(1, 11), (2, 20)]
+    left = [3, 5]
+
+    def take(i):
+        n = min(2, left[i])
+        left[i] -= n
+        return n
+
+    assert drain([lambda: take(0), lambda: take(1)]) == 8 and left == [0, 0]
+    with pytest.raises(RuntimeError):
+        drain([lambda: 1], 3)
+
+
 def test_stored_pages_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([("acme.in", "<p>नमस्ते</p>"), ("b_c.in", "x")], "d string, html string").select(pages.stored_path(F.col("d"), F.lit("home")).alias("stored_path"), "html")
     assert pages.write_stored(rows, str(tmp_path)).count() == 2
