@@ -26,3 +26,12 @@ def test_query_equals_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(queries.queries()) - set(queries.oracle_sql())))
 def test_query_runs(spark, name):
     assert queries.queries()[name](spark, FOLDER).count() >= 1
+
+
+def test_long_lists_of_towns_are_whole_or_an_error(spark, monkeypatch):
+    towns = spark.range(12_000).selectExpr("concat('town', id) AS city", "array('other') AS alt_names")
+    monkeypatch.setattr(queries, "table", lambda *_: towns)
+    assert len(queries._towns(spark, "")) == 12_000
+    monkeypatch.setattr(queries, "MOST_TOWNS", 100)
+    with pytest.raises(ValueError):
+        queries._towns(spark, "")
