@@ -11,16 +11,15 @@ from ledgerloom.functions.text import collapse, is_blank, or_null
 
 def _title(x: Column) -> Column:
     """Title case that restarts after every character that is no letter."""
-    letters = F.split(x, "")
-    one = lambda c, i: F.when((i > 0) & F.get(letters, i - 1).rlike(r"\p{L}"), F.lower(c)).otherwise(F.upper(c))
-    return F.array_join(F.transform(letters, one), "")
+    runs = F.regexp_extract_all(x, F.lit(r"(\p{L}+|\P{L}+)"), 1)
+    return F.array_join(F.transform(runs, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.lower(F.substring(w, 2, 2**31 - 1)))), "")
 
 
 def display_name(x: Column) -> Column:
     """Blanks collapsed, names all in capitals in title case, legal suffixes in one form."""
-    name = F.when(~is_blank(x), or_null(collapse(x)))
-    shouted = (F.upper(name) == name) & (F.lower(name) != name)
-    name = F.when(shouted, _title(F.when(shouted, name))).otherwise(name)
+    plain = F.when(~is_blank(x), or_null(collapse(x)))
+    # the plain name is looked at several times and made once, in the outer function's array
+    name = F.transform(F.array(plain), lambda n: F.when((F.upper(n) == n) & (F.lower(n) != n), _title(n)).otherwise(n))[0]
     # a dot after pvt or ltd belongs to it only if a word follows at once
     name = F.regexp_replace(name, r"(?iU)\b(pvt|ltd)\.(?=\w)", "$1\u0001")
     for words, shown in SUFFIX_DISPLAY.items():

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.dictionaries import HOSTING_SIGNS, PAGE_WORDS, PHONE_PATTERN, STOP_WORDS, TECHNOLOGIES
 from ledgerloom.functions import names, places, records, urls, web
-from ledgerloom.functions.text import collapse
+from ledgerloom.functions.text import collapse, is_blank
 from ledgerloom.operators import linking, merging
 from ledgerloom.plans import captured, sql
 from ledgerloom.session import Kept
@@ -36,7 +36,8 @@ def _records(spark: SparkSession, folder: str) -> DataFrame:
         "startup_india_id": records.source_id(F.col("startup_india_id")), "name": names.display_name(F.col("name")), "name_key": names.name_key(F.col("name")), "website": urls.website(F.col("website")),
         "domain": urls.domain(F.col("website")), "city": places.city(F.col("city")), "state": places.state(F.col("state")), "cin": records.cin(F.col("cin")), "phone": records.phone(F.col("phone")),
     } | {c: records.label(F.col(c)) for c in ("industry", "sector", "stage", "status", "role")}
-    return table(spark, folder, "companies").select(F.col("id").alias("row_idx"), "registration_date", F.col("dpiit_certified").alias("dpiit"), *(c.alias(n) for n, c in made.items())).where("name is not null")
+    named = table(spark, folder, "companies").where(~is_blank(F.col("name")))
+    return named.select(F.col("id").alias("row_idx"), "registration_date", F.col("dpiit_certified").alias("dpiit"), *(c.alias(n) for n, c in made.items()))
 
 
 def _kept_records(spark: SparkSession, folder: str) -> DataFrame:

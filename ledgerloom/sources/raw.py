@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerloom.functions import names, places, records, urls
+from ledgerloom.functions.text import is_blank
 from ledgerloom.sources.tables import table
 
 #: The source's columns, in file order.
@@ -71,5 +72,5 @@ def normalize(raw: DataFrame, startups_only: bool = False) -> DataFrame:
         "registration_date": records.registration_date(F.col("registration_date_raw"), F.col("registered_on")), "cin": records.cin(F.col("cin")), "dpiit": records.flag(F.col("dipp_certified")),
         "status": records.label(F.col("company_status")), "phone": records.phone(F.col("contact_number")), "role": records.label(F.col("role")),
     }
-    rows = raw.select("row_idx", *(c.alias(n) for n, c in made.items())).where("name is not null")
+    rows = raw.where(~is_blank(F.col("name"))).select("row_idx", *(c.alias(n) for n, c in made.items()))
     return rows.where(F.lower(F.coalesce("role", F.lit(""))) == "startup") if startups_only else rows
