@@ -31,6 +31,7 @@ def star_edges(pairs: DataFrame, vertex: str, key: str) -> DataFrame:
     vertices. Rows without vertex or key link nothing.
     """
     pairs = pairs.select(F.col(vertex).alias("v"), F.col(key).alias("_key")).where("v is not null and _key is not null").distinct()
+    pairs = Kept(pairs.sparkSession).keep(pairs, "pairs")  # read by the count, the hubs and the join
     hubs = pairs.groupBy("_key").agg(F.min("v").alias("u"), F.count("*").alias("n_rows")).where("n_rows > 1")
     return join_by_key(pairs, hubs, "_key").where("u < v").select("v", "u").distinct()
 
