@@ -26,6 +26,11 @@ def _each(name: str, key: str, columns: Callable[[], dict[str, Column]]) -> Quer
     return lambda spark, folder: table(spark, folder, name).select(key, *(c.alias(n) for n, c in columns().items()))
 
 
+def as_double(query: Query, *columns: str) -> Query:
+    """A query with whole numbers that may be null as doubles, which every reader of either engine shows alike."""
+    return lambda spark, folder: query(spark, folder).withColumns({c: F.col(c).cast("double") for c in columns})
+
+
 def _raw_each(columns: Callable[[], dict[str, Column]]) -> Query:
     return lambda spark, folder: raw.derived(spark, folder).select("row_idx", *(c.alias(n) for n, c in columns().items()))
 
@@ -371,8 +376,8 @@ CATALOGUE: dict[str, tuple[Query, str | None]] = {
     "merge_companies": (_merged, MERGED),
     "merged_sources": (lambda s, d: merging.cluster_sources(*_clustered(s, d)), f"WITH RECURSIVE {CLUSTERS} SELECT DISTINCT cluster, startup_india_id FROM records JOIN clusters USING (row_idx) WHERE startup_india_id IS NOT NULL"),
     "company_ids": (_company_ids, f"WITH RECURSIVE {CLUSTERS} SELECT row_number() OVER (ORDER BY cluster) AS id, cluster FROM (SELECT DISTINCT cluster FROM clusters)"),
-    "latest_probes": (_probes, f"WITH {PROBES} SELECT * FROM probes"),
-    "latest_pages": (_pages, f"WITH {PAGES} SELECT * FROM pages"),
+    "latest_probes": (as_double(_probes, "http_status"), f"WITH {PROBES} SELECT * REPLACE (CAST(http_status AS DOUBLE) AS http_status) FROM probes"),
+    "latest_pages": (as_double(_pages, "http_status"), f"WITH {PAGES} SELECT * REPLACE (CAST(http_status AS DOUBLE) AS http_status) FROM pages"),
     "probe_worklist": (lambda s, d: _work(s, d, "probe"), f"SELECT id AS company_id, domain FROM (SELECT id, {sql.domain('website')} AS domain FROM companies) WHERE domain IS NOT NULL AND id NOT IN (SELECT company_id FROM website_probes WHERE company_id IS NOT NULL AND alive)"),
     "crawl_worklist": (lambda s, d: _work(s, d, "crawl"), f"WITH {PROBES} SELECT company_id, final_url FROM probes WHERE alive AND final_url IS NOT NULL AND company_id NOT IN (SELECT company_id FROM crawled_pages WHERE company_id IS NOT NULL)"),
     "extract_worklist": (lambda s, d: _work(s, d, "extract"), "SELECT DISTINCT company_id FROM crawled_pages WHERE stored_path IS NOT NULL AND company_id NOT IN (SELECT company_id FROM company_enrichment WHERE company_id IS NOT NULL)"),
@@ -385,8 +390,8 @@ CATALOGUE: dict[str, tuple[Query, str | None]] = {
     "page_tally": (_page_type_tally, "SELECT page_type, count(*) AS n, count(stored_path) AS stored, count(*) FILTER (WHERE http_status >= 400 OR http_status IS NULL) AS failed FROM crawled_pages GROUP BY page_type"),
     "orphans": (_orphans, " UNION ALL ".join(f"SELECT '{t}' AS child, count(*) AS orphans FROM {t} WHERE company_id IS NULL OR company_id NOT IN (SELECT id FROM companies)" for t in ("company_sources", "website_probes", "company_enrichment", "crawled_pages"))),
     "insert_absent": (_sources_upsert, "SELECT DISTINCT company_id, startup_india_id FROM company_sources WHERE company_id % 2 = 0 OR startup_india_id IS NOT NULL UNION ALL SELECT DISTINCT company_id, startup_india_id FROM company_sources WHERE startup_india_id IS NULL"),
-    "upsert_last": (_probe_upsert, f"WITH {PROBES} SELECT company_id, alive, CASE WHEN NOT alive THEN 0 ELSE http_status END AS http_status, CASE WHEN NOT alive THEN 'gone' ELSE title END AS title FROM probes"),
-    "update_status": (_probe_status, f"WITH {PROBES} SELECT company_id, http_status, CASE WHEN http_status >= 400 THEN 'unreachable' ELSE title END AS title FROM probes"),
+    "upsert_last": (as_double(_probe_upsert, "http_status"), f"WITH {PROBES} SELECT company_id, alive, CAST(CASE WHEN NOT alive THEN 0 ELSE http_status END AS DOUBLE) AS http_status, CASE WHEN NOT alive THEN 'gone' ELSE title END AS title FROM probes"),
+    "update_status": (as_double(_probe_status, "http_status"), f"WITH {PROBES} SELECT company_id, CAST(http_status AS DOUBLE) AS http_status, CASE WHEN http_status >= 400 THEN 'unreachable' ELSE title END AS title FROM probes"),
     "page_titles": (lambda s, d: table(s, d, "page_store").select("stored_path", web.title(F.col("html")).alias("title")), r"SELECT stored_path, nullif(substr(trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '\s+', ' ', 'g')), 1, 300), '') AS title FROM page_store"),
     "page_emails": (_page_emails, EMAILS_SQL),
     "page_facts": (_page_facts, None),
@@ -396,13 +401,16 @@ CATALOGUE: dict[str, tuple[Query, str | None]] = {
     "page_socials": (_socials, _social_sql()),
     "hosting": (_hosting, f"WITH {PROBES} SELECT company_id, CASE {_HOSTING_CASES} ELSE nullif(trim(split_part(split_part(server_header, '/', 1), '(', 1)), '') END AS hosting_provider FROM (SELECT *, lower(coalesce(server_header, '')) AS hay FROM probes)"),
     "shard_paths": (_each("companies", "id", lambda: dict(path=pages.stored_path(urls.domain(F.col("website")), F.lit("home")))), f"SELECT id, concat_ws('/', substr(sha1(d), 1, 2), regexp_replace(d, '[^a-z0-9.\\-]', '_', 'g'), 'home.html.gz') AS path FROM (SELECT id, {sql.domain('website')} AS d FROM companies)"),
-    "founded_years": (_each("company_enrichment", "company_id", lambda: dict(year=web.founded_year(F.col("description"), 2026))), r"SELECT company_id, CASE WHEN y BETWEEN 1900 AND 2026 THEN y END AS year FROM (SELECT company_id, try_cast(regexp_extract(description, '(?i)(?:founded|established|est\.?|since|inception|incorporated)[^0-9]{0,20}(19\d{2}|20\d{2})', 1) AS INT) AS y FROM company_enrichment)"),
+    "founded_years": (as_double(_each("company_enrichment", "company_id", lambda: dict(year=web.founded_year(F.col("description"), 2026))), "year"), r"SELECT company_id, CAST(CASE WHEN y BETWEEN 1900 AND 2026 THEN y END AS DOUBLE) AS year FROM (SELECT company_id, try_cast(regexp_extract(description, '(?i)(?:founded|established|est\.?|since|inception|incorporated)[^0-9]{0,20}(19\d{2}|20\d{2})', 1) AS INT) AS y FROM company_enrichment)"),
     "staff_phrases": (_each("company_enrichment", "company_id", lambda: dict(phrase=web.staff_phrase(F.col("description")))), r"SELECT company_id, coalesce(nullif(trim(regexp_extract(description, '(?i)(?:\d{1,3}(?:,\d{3})*|\d+)\s*\+?\s*(?:employees|team members|people|professionals)', 0)), ''), nullif(trim(regexp_extract(description, '(?i)team of\s+(?:\d{1,3}(?:,\d{3})*|\d+)\+?', 0)), '')) AS phrase FROM company_enrichment"),
     "company_keywords": (_company_keywords, _KEYWORDS_SQL),
     "keywords": (_keywords, r"WITH last AS (SELECT company_id, description FROM (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY updated_at DESC, description DESC) AS k FROM company_enrichment WHERE description IS NOT NULL) WHERE k = 1), t AS (SELECT company_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM (SELECT company_id, regexp_extract_all(lower(description), '[a-z][a-z0-9\-]{3,}') AS w FROM last)), c AS (SELECT company_id, word, count(*) AS n, min(pos) AS pos FROM t GROUP BY company_id, word), r AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY n DESC, pos) AS k FROM c) SELECT company_id, string_agg(word, ' ' ORDER BY k) AS keywords FROM r WHERE k <= 8 GROUP BY company_id"),
     "incremental_domains": (incremental.domains_in_steps, f"SELECT id, {sql.domain('website')} AS domain FROM companies"),
 }
 CATALOGUE |= captured.catalogue()
+for _name, _columns in {"probe_captures": ("http_status",), "crawl_captures": ("http_status",), "probed_and_enriched": ("http_status", "founded_year")}.items():
+    _query, _text = CATALOGUE[_name]
+    CATALOGUE[_name] = as_double(_query, *_columns), f"SELECT * REPLACE ({', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _columns)}) FROM ({_text})"
 
 
 def queries() -> dict[str, Query]:
