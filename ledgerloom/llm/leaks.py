@@ -15,6 +15,7 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,21 +43,26 @@ def words_of(text: str) -> list[str]:
     return [w if w.isascii() else w.translate(LOOKALIKES) for w in words]
 
 
-def fingerprints(words: list[str], k: int = K, w: int = W) -> list[tuple[int, int]]:
-    """(hash, position) kept by winnowing; of equal smallest hashes the last."""
+def _kept(words: list[str], k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all k-grams, and the positions that winnowing keeps."""
     n = len(words) - k + 1
     if n < 1:
-        return []
-    codes = [zlib.crc32(x.encode()) for x in words]
-    grams = []
-    for i in range(n):
-        h = 0
-        for c in codes[i : i + k]:
-            h = (h * 0x100000001B3 ^ c) & 0xFFFFFFFFFFFFFFFF
-        h ^= h >> 29
-        grams.append((h * 0x9E3779B97F4A7C15 & 0x7FFFFFFFFFFFFFFF, -i))
-    kept = {min(grams[i : i + w]) for i in range(max(1, n - w + 1))}
-    return [(h, -i) for h, i in kept]
+        return np.zeros(0, np.uint64), np.zeros(0, int)
+    codes = np.fromiter((zlib.crc32(x.encode()) for x in words), np.uint64, len(words))
+    h = np.zeros(n, np.uint64)
+    for j in range(k):
+        h = h * np.uint64(0x100000001B3) ^ codes[j : j + n]
+    h ^= h >> np.uint64(29)
+    h = h * np.uint64(0x9E3779B97F4A7C15) & np.uint64(0x7FFFFFFFFFFFFFFF)
+    w = min(w, n)
+    windows = np.lib.stride_tricks.sliding_window_view(h, w)
+    return h, np.unique(np.arange(len(windows)) + w - 1 - windows[:, ::-1].argmin(axis=1))
+
+
+def fingerprints(words: list[str], k: int = K, w: int = W) -> list[tuple[int, int]]:
+    """(hash, position) kept by winnowing; of equal smallest hashes the last."""
+    h, at = _kept(words, k, w)
+    return list(zip(h[at].tolist(), at.tolist()))
 
 
 def pieces(doc: list[str], item: list[str]) -> list[tuple[int, int, int, int]]:
@@ -111,8 +117,8 @@ def find_leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", t
             for b in batches:
                 for at in range(0, len(b), 2000):
                     part = b.iloc[at : at + 2000]
-                    out = [(i, h) for i, t in zip(part.iloc[:, 0], part.iloc[:, 1]) for h in {h for h, _ in fingerprints(words_of(t))}]
-                    yield pd.DataFrame(out, columns=[name, "print"])
+                    prints = [np.unique(h[at]) for h, at in (_kept(words_of(t), K, W) for t in part.iloc[:, 1])]
+                    yield pd.DataFrame({name: np.repeat(part.iloc[:, 0].to_numpy(), [len(p) for p in prints]), "print": np.concatenate(prints or [np.zeros(0, np.uint64)]).astype(np.int64)})
 
         return run
 
