@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,11 +47,14 @@ FROM customer
 
 def read_csv(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """All columns as text with ``row_idx``, the record's place in the file; quoted line breaks and doubled quotes are kept.
+    A field with nothing in it is null, and one with an empty pair of quotes is the empty text.
 
     A file with line breaks in quotes is read by one task; give many files to read in parallel. ``limit`` counts raw records.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in CSV_COLUMNS])
-    rows = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("encoding", "UTF-8").schema(schema).csv(path)
+    reader = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("encoding", "UTF-8")
+    # Spark takes every text that equals nullValue for null, by default also the empty one; so it is a text that no file holds
+    rows = reader.option("nullValue", uuid.uuid4().hex).option("emptyValue", "").schema(schema).csv(path)
     # places in the order of file names: within a file ids grow, and counts of the files before make them dense
     rows = rows.withColumn("_id", F.monotonically_increasing_id()).withColumn("_file", F.col("_metadata.file_path")).withColumn("_at", F.col("_metadata.file_block_start"))
     sizes = rows.groupBy("_file", "_at").agg(F.count("*").alias("n"), F.min("_id").alias("_first"))

@@ -89,6 +89,12 @@ def test_csv_keeps_order_and_quoted_breaks(spark, tmp_path):
     assert raw.normalize(rows).count() == 2 and raw.normalize(rows, startups_only=True).count() == 1
 
 
+def test_csv_tells_empty_texts_from_nulls(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(",".join(raw.CSV_COLUMNS) + '\n"",1,' + "," * 12 + "\n,2,,\"\"" + "," * 11 + "\n N ,3, ," + "," * 11 + '""\n')
+    rows = raw.read_csv(spark, str(tmp_path / "a.csv")).orderBy("row_idx").collect()
+    assert [(r.name, r.id, r.role, r.state, r.contact_number) for r in rows] == [("", "1", None, None, None), (None, "2", None, "", None), (" N ", "3", " ", None, "")]
+
+
 def test_csv_files_count_in_the_order_of_their_names(spark, tmp_path):
     head = ",".join(raw.CSV_COLUMNS) + "\n"
     for name, ids in (("c", range(4, 6)), ("a", range(0, 3)), ("b", range(3, 4))):
