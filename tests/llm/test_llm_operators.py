@@ -218,6 +218,16 @@ def test_same_place(spark):
     assert addresses.find_same_place(df.limit(0), "company_id", "address").count() == 0
 
 
+def test_same_place_reads_doors_that_nothing_marks(spark):
+    data = [
+        (1, "Tisgolan Mudasen Street 804 Second Floor Sector 7 Pune"), (2, "Shop No. 804, Tisgolan Mudasen Street, Pune"), (3, "Pune 411082 K-12 Vinbortur Jojonel Road"), (4, "Office K-12 Vinbortur Jojonel Road"),
+        (5, "Tisgolan Mudasen Street Sector 7 Pune"), (6, "Tisgolan Mudasen Street Sector 7 Pune"), (7, "Plot No. 10234, Vinbortur Jojonel Road"), (8, "vinbortur jojonel road 10234 2nd floor pune"),
+        (9, "12, Kosniddelhaltowers"), (10, "12, Kosniddelhaltowers"), (11, "12, Pune"), (12, "12, Pune"), (13, "Pincode 411082"), (14, "Pincode 411082"),
+    ]
+    df = spark.createDataFrame(data, "company_id long, address string")
+    assert rows(addresses.find_same_place(df, "company_id", "address", [("Pune", [])])) == [(1, 2), (3, 4), (7, 8), (9, 10)]
+
+
 def test_rewrites_are_mined(spark):
     from ledgerloom.session import Kept
 
