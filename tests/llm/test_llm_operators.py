@@ -194,6 +194,38 @@ def test_name_variants(spark):
     assert name_variants.find_variants(df.limit(0), "id", "name").count() == 0
 
 
+def test_meetings_are_the_same_in_many_passes(spark, monkeypatch):
+    from itertools import combinations
+
+    from ledgerloom.session import Kept
+
+    rng = random.Random(7)
+    stems = ["".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(6)) for _ in range(30)]
+    texts = sorted({s[:k] + rng.choice("aeioukmn") + s[k + 1 :] for s in stems for k in range(0, 12, 3)})
+    df = spark.createDataFrame(list(enumerate(texts)), "n long, whole string")
+    keys = name_variants._signatures(texts, name_variants.bands())
+    alike = lambda a, b: all(sum(c not in y for c in x) <= 0.22 * max(len(a), len(b)) + 1e-9 for x, y in ((a, b), (b, a)))
+    want = {(i, j) for i, j in combinations(range(len(texts)), 2) if (keys[i] == keys[j]).sum() >= name_variants.MEETINGS and alike(texts[i], texts[j])}
+    assert len(want) > 30
+    for pass_rows in (name_variants.PASS_ROWS, 10 * len(texts)):
+        monkeypatch.setattr(name_variants, "PASS_ROWS", pass_rows)
+        found = rows(name_variants.meetings(df, Kept(spark, tidy=True)))
+        assert len(found) == len(set(found)) and set(found) == want
+
+
+def test_a_tidy_stage_leaves_no_shuffle_files(spark):
+    from pathlib import Path
+
+    from ledgerloom.session import CLEANUP, Kept
+
+    folders = [Path(x) for x in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+    files = lambda: {p for d in folders for p in d.rglob("shuffle_*")}
+    before = files()
+    made = Kept(spark, tidy=True).keep(spark.range(1000).repartition(3), "made")
+    assert made.count() == 1000 and not {p for p in files() - before if p.stat().st_size > 1000}
+    assert spark.conf.get(CLEANUP, None) is None
+
+
 def test_star_clusters_members_touch_their_centre(spark):
     from ledgerloom.session import Kept
 
